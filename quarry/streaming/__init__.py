@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no stream processing: every input is a finite file and
+no watermark, window-over-time or state store exists there. No streaming
+operator is built; every job here is a batch DataFrame plan.
+"""
