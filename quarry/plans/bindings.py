@@ -58,13 +58,13 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("l_partkey").alias("movie_id"),
                     F.col("o_custkey").alias("user_id"),
                     (F.col("l_linenumber") % 5 + 1).cast("int").alias("rate"),
-                    F.to_date("l_shipdate").alias("rated_on")))
+                    F.date_format("l_shipdate", "yyyy-MM-dd").alias("rated_on")))
 
 
 RATINGS_SQL = """
 r AS (SELECT l_partkey AS movie_id, o_custkey AS user_id,
              CAST(l_linenumber % 5 + 1 AS INTEGER) AS rate,
-             CAST(l_shipdate AS DATE) AS rated_on
+             strftime(l_shipdate, '%Y-%m-%d') AS rated_on
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as g
 from . import bindings as b
+from ..session import shared_dir
 from .catalog import register
 
 W = "WITH " + b.GRAPH_EDGES_SQL
@@ -24,7 +25,12 @@ s AS (SELECT a AS user_id, b AS cand_id, n FROM nf UNION ALL SELECT b, a, n FROM
 
 
 def _edges(spark, d):
-    return b.graph_edges(spark, d)
+    """The edge table is read three times (both wedge sides and the
+    tombstones): it is cut once into a reliable checkpoint in the shared
+    folder, so it is derived from ``lineitem`` once and a lost executor
+    recomputes from the checkpoint, not from the scan."""
+    shared_dir(spark)
+    return b.graph_edges(spark, d).repartition("src").checkpoint()
 
 
 def _deg(spark, d):
