@@ -117,11 +117,22 @@ sl AS (SELECT o_orderkey AS row_id, o_totalprice + 0.0 AS score,
 
 # ---------------------------------------------------------------- TEXT
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Review table: text of labelled documents, liked = quality."""
+    """Review table: text of labelled documents; a star rating 5.0 for a
+    good-quality document and 1.0 otherwise, so ``liked`` = quality."""
     d = table(spark, sf_dir, "documents", "doc_id", "text")
     lab = table(spark, sf_dir, "labels", "doc_id", "quality")
-    return d.join(lab, "doc_id").select("doc_id", F.col("text").alias("review"),
-                                        F.col("quality").cast("double").alias("overall"))
+    return d.join(lab, "doc_id").select(
+        "doc_id", F.col("text").alias("review"),
+        (F.col("quality") * 4 + 1).cast("double").alias("overall"))
+
+
+REVIEWS_SQL = """
+rv AS (SELECT doc_id, text AS review, CAST(quality * 4 + 1 AS DOUBLE) AS overall
+       FROM documents JOIN labels USING (doc_id)),
+lr AS (SELECT doc_id, review, CAST(coalesce(overall > 3, false) AS INTEGER) AS liked FROM rv
+       WHERE overall IS DISTINCT FROM 3.0 AND review IS NOT NULL),
+sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)))
+                      <= ceil(0.1 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM lr)"""
 
 
 # ---------------------------------------------------------------- CLUSTER

@@ -1,5 +1,217 @@
-"""Keys of this area."""
+"""TEXT keys: labelled documents as reviews; sampling keys on orders."""
 
 from __future__ import annotations
 
-from .catalog import register  # noqa: F401
+from pyspark.sql import functions as F
+
+from ..operators import sampling as sm
+from ..operators import text as tx
+from ..session import shared_dir
+from . import bindings as b
+from .catalog import register
+
+RV = "WITH " + b.REVIEWS_SQL
+
+
+def _labelled(spark, d):
+    return tx.label_reviews(b.reviews(spark, d))
+
+
+def _split(spark, d):
+    return sm.split_train_test(_labelled(spark, d), "doc_id", 0.1, seed=42)
+
+
+@register("label_reviews", RV + " SELECT doc_id, liked FROM lr")
+def q_label_reviews(spark, d):
+    return _labelled(spark, d).select("doc_id", "liked")
+
+
+@register("class_balance", RV + " SELECT liked, CAST(count(*) AS BIGINT) AS n FROM lr GROUP BY liked")
+def q_class_balance(spark, d):
+    return tx.class_balance(_labelled(spark, d))
+
+
+@register("split_train_test", RV + " SELECT doc_id, liked, split FROM sp")
+def q_split_train_test(spark, d):
+    return _split(spark, d).select("doc_id", "liked", "split")
+
+
+BAL_SQL = RV + """,
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+cn AS (SELECT liked, count(*) AS n FROM tr GROUP BY liked),
+mn AS (SELECT min(n) AS m FROM cn),
+rk AS (SELECT tr.*, row_number() OVER (PARTITION BY liked ORDER BY md5('0|' || CAST(doc_id AS VARCHAR))) AS r
+       FROM tr),
+bal AS (SELECT doc_id, liked FROM rk WHERE r <= (SELECT m FROM mn))"""
+
+
+def _balanced(spark, d):
+    tr = _split(spark, d).where(F.col("split") == "train")
+    return sm.undersample_majority(tr, "doc_id", "liked", seed=0)
+
+
+@register("undersample_majority", BAL_SQL + """
+SELECT doc_id, liked FROM bal WHERE liked IN (SELECT liked FROM cn WHERE n > (SELECT m FROM mn))""")
+def q_undersample_majority(spark, d):
+    tr = _split(spark, d).where(F.col("split") == "train")
+    return sm.cut_majority(tr, "doc_id", "liked", seed=0).select("doc_id", "liked")
+
+
+@register("concat_balanced", BAL_SQL + " SELECT doc_id, liked FROM bal")
+def q_concat_balanced(spark, d):
+    return _balanced(spark, d).select("doc_id", "liked")
+
+
+@register("clean_text")
+def q_clean_text(spark, d):
+    """Balanced training reviews plus the test reviews, cleaned and stemmed
+    (checked by fixtures: the stemmer has no SQL form)."""
+    shared_dir(spark)
+    sp = _split(spark, d)
+    bal = _balanced(spark, d).select("doc_id")
+    rows = sp.join(bal, "doc_id", "left_semi").unionByName(sp.where(F.col("split") == "test"))
+    return tx.clean_text(rows, "doc_id", "review").select("doc_id", "clean")
+
+
+TC_SQL = RV + r""",
+tt AS (SELECT doc_id, split, unnest(regexp_extract_all(lower(review), '[\p{L}\p{N}_]{2,}')) AS term FROM sp),
+tc AS (SELECT doc_id, split, term, count(*) AS n FROM tt GROUP BY doc_id, split, term),
+vt AS (SELECT term, sum(n) AS corpus_n FROM tc WHERE split = 'train' GROUP BY term
+       ORDER BY corpus_n DESC, term LIMIT 200),
+vocab AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index, corpus_n FROM vt)"""
+
+
+@register("bag_of_words", TC_SQL + """
+SELECT tc.doc_id, CAST(v.term_index AS BIGINT) AS term_index, tc.term, CAST(tc.n AS BIGINT) AS n
+FROM tc JOIN vocab v ON tc.term = v.term WHERE tc.split = 'test'""")
+def q_bag_of_words(spark, d):
+    """Vocabulary of 200 fitted on the training reviews, applied to the test
+    reviews; long-form counts."""
+    sp = _split(spark, d)
+    return tx.bag_of_words(sp.where(F.col("split") == "train"), "doc_id", "review", 200,
+                           apply_to=sp.where(F.col("split") == "test"))
+
+
+@register("vocabulary", TC_SQL + """
+SELECT term, CAST(term_index AS BIGINT) AS term_index, CAST(corpus_n AS BIGINT) AS corpus_n FROM vocab""")
+def q_vocabulary(spark, d):
+    sp = _split(spark, d)
+    return tx.vocabulary(tx.term_counts(sp.where(F.col("split") == "train"), "doc_id", "review"), 200) \
+        .select("term", "term_index", "corpus_n")
+
+
+MM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LI_SPLIT_SQL = """WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, l_quantity,
+  l_extendedprice, l_discount, l_tax FROM lineitem),
+sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST(row_id AS VARCHAR)))
+                      <= ceil(0.1 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM li)"""
+
+
+def _mm_expr(c):
+    return (f"round(CASE WHEN max({c}) FILTER (WHERE split='train') = min({c}) FILTER (WHERE split='train') "
+            f"THEN 0.0 ELSE ({c} - min({c}) FILTER (WHERE split='train') OVER ()) / "
+            f"(max({c}) FILTER (WHERE split='train') OVER () - min({c}) FILTER (WHERE split='train') OVER ()) END, 6)")
+
+
+@register("minmax_scale", LI_SPLIT_SQL + """,
+mm AS (SELECT """ + ", ".join(
+    f"min({c}) FILTER (WHERE split = 'train') AS {c}_lo, max({c}) FILTER (WHERE split = 'train') AS {c}_hi"
+    for c in MM_COLS) + """ FROM sp)
+SELECT row_id, """ + ", ".join(
+    f"round(CASE WHEN {c}_hi = {c}_lo THEN 0.0 ELSE ({c} - {c}_lo) / ({c}_hi - {c}_lo) END, 6) AS {c}"
+    for c in MM_COLS) + """
+FROM sp, mm WHERE split = 'test'""")
+def q_minmax_scale(spark, d):
+    """Scaler fitted on the training lines, applied to the test lines."""
+    li = b.table(spark, d, "lineitem", "l_orderkey", "l_linenumber", *MM_COLS) \
+        .withColumn("row_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    sp = sm.split_train_test(li.select("row_id", *MM_COLS), "row_id", 0.1, seed=42)
+    fit = tx.minmax_fit(sp.where(F.col("split") == "train"), MM_COLS)
+    out = tx.minmax_apply(sp.where(F.col("split") == "test"), fit, MM_COLS)
+    return out.select("row_id", *[F.round(c, 6).alias(c) for c in MM_COLS])
+
+
+PRED_SQL = """WITH pr AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,
+  CAST(l_discount >= 0.05 AS INTEGER) AS prediction FROM lineitem)"""
+
+
+def _pred(spark, d):
+    li = b.table(spark, d, "lineitem", "l_returnflag", "l_discount")
+    return li.select((F.col("l_returnflag") == "R").cast("int").alias("label"),
+                     (F.col("l_discount") >= 0.05).cast("int").alias("prediction"))
+
+
+@register("confusion_matrix", PRED_SQL + """
+SELECT t.label, p.prediction, CAST(count(pr.label) AS BIGINT) AS n
+FROM (VALUES (0), (1)) t(label) CROSS JOIN (VALUES (0), (1)) p(prediction)
+LEFT JOIN pr ON pr.label = t.label AND pr.prediction = p.prediction
+GROUP BY t.label, p.prediction""")
+def q_confusion_matrix(spark, d):
+    return tx.confusion_counts(_pred(spark, d))
+
+
+@register("accuracy", PRED_SQL + """
+SELECT round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy FROM pr""")
+def q_accuracy(spark, d):
+    return tx.accuracy(_pred(spark, d)).select(F.round("accuracy", 6).alias("accuracy"))
+
+
+@register("pr_auc_hard", PRED_SQL + """,
+a AS (SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+             count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+             count(*) FILTER (WHERE label = 1) AS pos, count(*) AS n,
+             count(DISTINCT prediction) AS k FROM pr),
+b AS (SELECT *, pos / n AS pi, tp / pos AS r, tp / (tp + fp) AS p FROM a)
+SELECT round(CASE WHEN pos = 0 THEN NULL WHEN k < 2 THEN (pi + 1) / 2
+                  ELSE (1 - r) * (pi + p) / 2 + r * (p + 1) / 2 END, 6) AS pr_auc FROM b""")
+def q_pr_auc_hard(spark, d):
+    return tx.pr_auc_hard(_pred(spark, d)).select(F.round("pr_auc", 6).alias("pr_auc"))
+
+
+# ------------------------------------------------------------ sampling on orders
+ORD_SQL = """WITH od AS (SELECT o_orderkey FROM orders),
+rk AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('0|' || CAST(o_orderkey AS VARCHAR))) AS r,
+              count(*) OVER () AS n FROM od),
+s3 AS (SELECT o_orderkey, CASE WHEN r <= floor(0.7 * n) THEN 'train'
+                               WHEN r <= floor(0.7 * n) + floor(0.1 * n) THEN 'eval'
+                               ELSE 'test' END AS split FROM rk)"""
+
+
+def _orders_split(spark, d):
+    od = b.table(spark, d, "orders", "o_orderkey")
+    return sm.split_train_eval_test(od, "o_orderkey", 0.7, 0.1, seed=0)
+
+
+@register("split_train_eval_test", ORD_SQL + " SELECT o_orderkey, split FROM s3")
+def q_split_train_eval_test(spark, d):
+    return _orders_split(spark, d)
+
+
+@register("test_remainder", ORD_SQL + """
+SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s3 WHERE split = 'train')""")
+def q_test_remainder(spark, d):
+    sp = _orders_split(spark, d)
+    return sm.remainder(b.table(spark, d, "orders", "o_orderkey"),
+                        sp.where(F.col("split") == "train"), "o_orderkey")
+
+
+@register("few_shot_sample", ORD_SQL + """,
+st AS (SELECT s3.o_orderkey, g.step FROM s3, range(10) g(step) WHERE split = 'train'),
+sr AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY md5(CAST(step AS VARCHAR) || '|' ||
+       CAST(o_orderkey AS VARCHAR))) AS rn FROM st)
+SELECT CAST(step AS INTEGER) AS step, o_orderkey FROM sr WHERE rn <= 3""")
+def q_few_shot_sample(spark, d):
+    """Three training rows per optimisation step (10 steps), seeded by step."""
+    tr = _orders_split(spark, d).where(F.col("split") == "train").select("o_orderkey")
+    return sm.few_shot_sample(tr, "o_orderkey", 10, 3).select(F.col("step").cast("int"), "o_orderkey")
+
+
+@register("dedup_by_md5", """
+WITH seen AS (SELECT DISTINCT md5(text) AS md5 FROM documents JOIN labels USING (doc_id))
+SELECT DISTINCT md5(text) AS md5 FROM documents WHERE md5(text) NOT IN (SELECT md5 FROM seen)""")
+def q_dedup_by_md5(spark, d):
+    """Document texts not already in the labelled set, each once."""
+    docs = b.table(spark, d, "documents", "doc_id", "text")
+    seen = docs.join(b.table(spark, d, "labels", "doc_id"), "doc_id", "left_semi") \
+        .select(F.md5("text").alias("md5"))
+    return sm.dedup_by_md5(docs, "text", seen).select("md5")
