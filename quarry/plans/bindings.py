@@ -14,6 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# A line item is identified by order, line number, part and supplier (the
+# line number alone repeats within an order in the driver data).
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+LINE_ID_SQL = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+
+
+def line_id():
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_KEY])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return df.select(*cols) if cols else df
@@ -91,14 +101,14 @@ bk AS (SELECT DISTINCT l_orderkey AS basket_id, p_brand AS item
 # ---------------------------------------------------------------- EVAL-ROC
 def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score/label table with many ties: score = discount, label = returned."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_discount", "l_returnflag")
-    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+    li = table(spark, sf_dir, "lineitem", *LINE_KEY, "l_discount", "l_returnflag")
+    return li.select(line_id().alias("row_id"),
                      (F.col("l_discount") + F.lit(0.0)).alias("score"),
                      (F.col("l_returnflag") == "R").cast("int").alias("label"))
 
 
 SCORED_LINES_SQL = """
-sl AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, l_discount + 0.0 AS score,
+sl AS (SELECT """ + LINE_ID_SQL + """ AS row_id, l_discount + 0.0 AS score,
               CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem)"""
 
 
@@ -137,14 +147,14 @@ sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST(doc_id
 
 # ---------------------------------------------------------------- CLUSTER
 def points_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_discount")
-    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+    li = table(spark, sf_dir, "lineitem", *LINE_KEY, "l_quantity", "l_discount")
+    return li.select(line_id().alias("id"),
                      F.array(F.col("l_quantity").cast("double"),
                              (F.col("l_discount") * 100).cast("double")).alias("features"))
 
 
 POINTS_SQL = """
-pt AS (SELECT l_orderkey * 8 + l_linenumber AS id, CAST(l_quantity AS DOUBLE) AS x,
+pt AS (SELECT """ + LINE_ID_SQL + """ AS id, CAST(l_quantity AS DOUBLE) AS x,
               CAST(l_discount * 100 AS DOUBLE) AS y FROM lineitem)"""
 
 

@@ -101,7 +101,7 @@ def q_vocabulary(spark, d):
 
 
 MM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-LI_SPLIT_SQL = """WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, l_quantity,
+LI_SPLIT_SQL = """WITH li AS (SELECT """ + b.LINE_ID_SQL + """ AS row_id, l_quantity,
   l_extendedprice, l_discount, l_tax FROM lineitem),
 sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST(row_id AS VARCHAR)))
                       <= ceil(0.1 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM li)"""
@@ -123,8 +123,7 @@ SELECT row_id, """ + ", ".join(
 FROM sp, mm WHERE split = 'test'""")
 def q_minmax_scale(spark, d):
     """Scaler fitted on the training lines, applied to the test lines."""
-    li = b.table(spark, d, "lineitem", "l_orderkey", "l_linenumber", *MM_COLS) \
-        .withColumn("row_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    li = b.table(spark, d, "lineitem", *b.LINE_KEY, *MM_COLS).withColumn("row_id", b.line_id())
     sp = sm.split_train_test(li.select("row_id", *MM_COLS), "row_id", 0.1, seed=42)
     fit = tx.minmax_fit(sp.where(F.col("split") == "train"), MM_COLS)
     out = tx.minmax_apply(sp.where(F.col("split") == "test"), fit, MM_COLS)
