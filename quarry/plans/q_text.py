@@ -62,6 +62,30 @@ def q_concat_balanced(spark, d):
     return _balanced(spark, d).select("doc_id", "liked")
 
 
+def _clean_split(spark, d):
+    """Cleaned balanced-train and test reviews: ``(doc_id, liked, split, clean)``."""
+    shared_dir(spark)
+    sp = _split(spark, d)
+    bal = _balanced(spark, d).select("doc_id")
+    rows = sp.join(bal, "doc_id", "left_semi").unionByName(sp.where(F.col("split") == "test"))
+    cleaned = tx.clean_text(rows, "doc_id", "review")
+    return rows.select("doc_id", "liked", "split").join(cleaned, "doc_id")
+
+
+@register("compare_classifiers")
+def q_compare_classifiers(spark, d):
+    """Six MLlib classifiers on the cleaned reviews (checked by fixtures)."""
+    from ..operators import classify as cf
+    c = _clean_split(spark, d)
+    return cf.compare_classifiers(c.where(F.col("split") == "train"),
+                                  c.where(F.col("split") == "test"))
+
+
+@register("rank_models")
+def q_rank_models(spark, d):
+    return q_compare_classifiers(spark, d).select("name", "accuracy", "rank")
+
+
 @register("clean_text")
 def q_clean_text(spark, d):
     """Balanced training reviews plus the test reviews, cleaned and stemmed
