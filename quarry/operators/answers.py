@@ -93,9 +93,11 @@ def wrong_question_counts(results: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_wrong")))
 
 
-def multi_decode_accuracy(preds: DataFrame, qa: DataFrame) -> DataFrame:
-    """Per (instruction, question) the mean 0/1 over all decodes."""
-    p = parse_answers(preds).join(qa.select("row_id", F.col("answer").alias("t")), "row_id", "left")
+def multi_decode_accuracy(preds: DataFrame, qa: DataFrame, parse: bool = True) -> DataFrame:
+    """Per (instruction, question) the mean 0/1 over all decodes.
+    ``parse=False`` scores ``raw_answer`` as already-parsed answers."""
+    p = parse_answers(preds) if parse else preds.withColumn("parsed_answer", F.col("raw_answer"))
+    p = p.join(qa.select("row_id", F.col("answer").alias("t")), "row_id", "left")
     p = ar.with_answer_correct(p, "t", "parsed_answer", "acc")
     return p.groupBy("ins_md5", "row_id").agg(F.avg(F.col("acc").cast("double")).alias("accuracy"))
 
