@@ -81,6 +81,23 @@ def q_compare_classifiers(spark, d):
                                   c.where(F.col("split") == "test"))
 
 
+def _clf_key(model):
+    def q(spark, d):
+        from ..operators import classify as cf
+        c = _clean_split(spark, d)
+        return cf.fit_predict(c.where(F.col("split") == "train"),
+                              c.where(F.col("split") == "test"), model)
+    q.__doc__ = f"{model} fitted on the balanced cleaned training reviews, test predictions."
+    return q
+
+
+for _key, _model in [("clf_gaussian_nb", "GaussianNB"), ("clf_random_forest", "RandomForestClassifier"),
+                     ("clf_decision_tree", "DecisionTreeClassifier"),
+                     ("clf_logistic", "LogisticRegression"), ("clf_svm", "SVC"),
+                     ("clf_mlp", "MLPClassifier")]:
+    register(_key)(_clf_key(_model))
+
+
 @register("rank_models")
 def q_rank_models(spark, d):
     return q_compare_classifiers(spark, d).select("name", "accuracy", "rank")

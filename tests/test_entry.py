@@ -12,4 +12,4 @@ def test_entry_smoke(spark):
 def test_keys_consistent():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 85
+    assert len(q) >= 95
