@@ -107,3 +107,12 @@ def test_recommendation_lines(spark):
     rec = g.recommend(edges_of(spark, ADJ), k=10)
     lines = sorted(r.value for r in g.recommendation_lines(rec).collect())
     assert lines == ["1\t4", "2\t3", "3\t2,4", "4\t1,3"]
+
+
+def test_hub_split_on_driver_graph(spark):
+    from conftest import SF001
+    from quarry.plans import bindings as b
+    e1 = b.graph_edges(spark, SF001)
+    e2 = b.graph_edges(spark, SF001, hub_size=2)  # every order with > 2 parts split
+    assert rows(e1) == rows(e2)
+    assert rows(g.recommend(e1, 10)) == rows(g.recommend(e1, 10, hub_degree=3))
