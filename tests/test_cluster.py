@@ -79,3 +79,23 @@ def test_pca_2d_closed_form(spark):
     top = v[:, -1] * np.sign(v[np.argmax(np.abs(v[:, -1])), -1])
     assert (r.c0, r.c1) == (pytest.approx(top[0]), pytest.approx(top[1]))
     assert np.allclose(cl.pca_first_component(p), top, atol=1e-6)
+
+
+def test_labels_are_from_before_last_update(spark):
+    # one round: labels come from the start centroids, not the updated ones
+    p = pts(spark, [(0, 0), (4, 0), (10, 0)])
+    labels, used, _ = cl.lloyd(p, [[0, 0], [10, 0]], 1, stop_when_stable=False)
+    assert used == [[0.0, 0.0], [10.0, 0.0]]
+    assert [c for _, c in rows(labels)] == [0, 0, 1]
+
+
+def test_mahalanobis_any_dimension(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 3))
+    P = np.array([[2.0, 0.3, 0.0], [0.1, 1.0, 0.2], [0.0, -0.4, 3.0]])
+    init = x[:3].tolist()
+    labels, used = cl.kmeans_mahalanobis(pts(spark, x.tolist()), init, P, iterations=1)
+    a = np.linalg.inv(P.T @ P)
+    d = np.array([[(xi - c) @ a @ (xi - c) for c in np.asarray(init)] for xi in x])
+    assert [c for _, c in rows(labels)] == d.argmin(1).tolist()
+    assert np.allclose(used, init)

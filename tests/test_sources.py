@@ -114,3 +114,13 @@ def test_sinks(spark, tmp_dir):
     sk.write_eval_results(res, os.path.join(tmp_dir, "ev"))
     names = os.listdir(os.path.join(tmp_dir, "ev"))
     assert "ins_md5=m1" in names and "ins_md5=m2" in names
+
+
+def test_favourites_keep_repeats_and_numeric_lowest(spark, tmp_dir):
+    # user "9" < "10" numerically (not as text); a movie rated twice shows twice
+    write(os.path.join(tmp_dir, "d.txt"), "1:\n9,5,2001-01-01\n10,5,2001-01-01\n1:\n9,5,2001-01-02\n10,1,2001-01-02\n")
+    from quarry.operators import ratings as rt
+    r = rd.read_ratings(spark, tmp_dir)
+    assert rows(rt.lowest_user_favourites(r, 2), "user_id", "movie_id") == [(9, 1), (9, 1)]
+    empty = rt.lowest_user_favourites(r, 3)
+    assert empty.count() == 0

@@ -64,3 +64,10 @@ def test_vocabulary_ties_and_index(spark):
     df = spark.createDataFrame([(1, "bb aa cc a"), (2, "bb aa dd"), (3, "ee")], "doc_id long, t string")
     v = tx.vocabulary(tx.term_counts(df, "doc_id", "t"), 3)
     assert rows(v, "term", "term_index", "corpus_n") == [("aa", 0, 2), ("bb", 1, 2), ("cc", 2, 1)]
+
+
+def test_vocabulary_fitted_on_train_only(spark):
+    train = spark.createDataFrame([(1, "aa bb"), (2, "aa")], "doc_id long, t string")
+    test = spark.createDataFrame([(3, "cc cc aa")], "doc_id long, t string")
+    out = rows(tx.bag_of_words(train, "doc_id", "t", 5, apply_to=test), "doc_id", "term", "n")
+    assert out == [(3, "aa", 1)]  # "cc" is not in the training vocabulary
