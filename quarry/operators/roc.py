@@ -1,7 +1,8 @@
 """ROC curve, partial AUC and the precision sweep over ``(score, label)``.
 
 Rows are first grouped by distinct score (a partial aggregate, so ties and hot
-scores collapse map-side). The running true/false positive counts over
+scores collapse map-side) and that table is checkpointed once, so the input is
+scanned a single time whatever reads the table afterwards. The running true/false positive counts over
 descending score then come from the bucketed running sums in ``ordered``: the
 distinct scores are cut into quantile buckets, each bucket is one window task
 and the offsets between buckets come from a one-row-per-bucket table.
@@ -36,12 +37,21 @@ def score_groups(scored: DataFrame, score: str = "score", label: str = "label")
         F.sum((1 - F.col(label)).cast("long")).alias("neg"))
 
 
-def _curve_rows(scored: DataFrame, n_buckets: int, score: str, label: str) -> DataFrame:
+def grouped(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """The distinct-score table, cut once into a reliable checkpoint: the
+    quantiles, offsets, neighbours and totals all read it, so the input is
+    scanned and shuffled once."""
+    from ..session import shared_dir
+    shared_dir(scored.sparkSession)
+    return score_groups(scored, score, label).checkpoint()
+
+
+def _curve_rows(g: DataFrame, n_buckets: int) -> DataFrame:
     """Distinct scores with running counts and the keep flag.
 
     Columns: score, pos, neg, tps, fps, keep, _b, _k (order key = -score).
     """
-    g = score_groups(scored, score, label).withColumn("_k", -F.col("score"))
+    g = g.withColumn("_k", -F.col("score"))
     g = g.withColumn("_b", quantile_bucket(g, "_k", n_buckets))
     g = running_sums(g, "_b", ["_k"], ["pos", "neg"], ["tps", "fps"])
     g = with_neighbours(g, "_b", ["_k"], ["pos", "neg"], prev=True, nxt=True)
@@ -50,25 +60,24 @@ def _curve_rows(scored: DataFrame, n_buckets: int, score: str, label: str) -> Da
     return g.withColumn("keep", keep)
 
 
-def _totals(scored: DataFrame, label: str):
-    t = scored.select(F.col(label).cast("long").alias("l"))
-    p = t.agg(F.sum("l")).scalar()
-    n = t.agg(F.sum(1 - F.col("l"))).scalar()
-    return p, n
+def _totals(g: DataFrame):
+    """Positives and negatives as scalar subqueries over the score table."""
+    return g.agg(F.sum("pos")).scalar(), g.agg(F.sum("neg")).scalar()
 
 
 def roc_points(scored: DataFrame, score: str = "score", label: str = "label",
                n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``(threshold, tps, fps, fpr, tpr, _b, _k)`` for the kept points plus
     the (0, 0, +inf) start."""
-    rows = _curve_rows(scored, n_buckets, score, label).where("keep")
+    g = grouped(scored, score, label)
+    rows = _curve_rows(g, n_buckets).where("keep")
     start = rows.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tps"),
         F.lit(0).cast("long").alias("fps"), F.lit(-1).alias("_b"),
         F.lit(float("-inf")).alias("_k"))
     pts = rows.select(F.col("score").alias("threshold"), "tps", "fps", "_b", "_k") \
         .unionByName(start)
-    p, n = _totals(scored, label)
+    p, n = _totals(g)
     return pts.withColumn("fpr", F.try_divide(F.col("fps").cast("double"), n)) \
               .withColumn("tpr", F.try_divide(F.col("tps").cast("double"), p))
 
@@ -100,8 +109,9 @@ def precision_sweep(scored: DataFrame, score: str = "score", label: str = "label
     The counts above a threshold are the running counts one distinct score
     higher (tps - pos), so no threshold rescans the data.
     """
-    rows = _curve_rows(scored, n_buckets, score, label).where("keep")
-    p, n = _totals(scored, label)
+    g = grouped(scored, score, label)
+    rows = _curve_rows(g, n_buckets).where("keep")
+    p, n = _totals(g)
     tp = F.col("tps") - F.col("pos")
     fp = F.col("fps") - F.col("neg")
     kept = rows.select(F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"))
