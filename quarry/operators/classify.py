@@ -45,7 +45,11 @@ ROWS_PER_PARTITION = 50_000
 
 def sized(df: DataFrame, n_rows: int) -> DataFrame:
     want = max(1, -(-n_rows // ROWS_PER_PARTITION))
-    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect)
+        return df.coalesce(want)
+    return df.coalesce(want) if have > want else df
 
 
 def featurize(train: DataFrame, test: DataFrame, text: str = "clean", label: str = "liked"):

@@ -48,7 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir
+        pass
     return d
 
 
