@@ -104,7 +104,9 @@ def global_rank(df: DataFrame, hex_key: str, partition: list[str] | None = None,
     optionally restarting per ``partition`` columns.
 
     Buckets come from the key's leading hex digits, so a hot partition value
-    is still spread over 16**digits tasks.
+    is still spread over 16**digits tasks. The broadcast offset table has one
+    row per (partition value, bucket): use low-cardinality partition columns
+    (class labels), which bounds it.
     """
     partition = partition or []
     b = "_rb"
