@@ -99,3 +99,20 @@ def test_curate_candidates(spark):
     ledger = spark.createDataFrame([(an.md5_text("Be brief."),)], "ins_md5 string")
     got = [r.instruction for r in an.curate_candidates(outs, "out", ledger).collect()]
     assert got == ["Think step by step."]
+
+
+def test_multiple_choice_branch(spark):
+    q = ("From which direction does the sun rise in the morning? "
+         "(A) west (B) east (C) north (D) south")
+    cases = [("(B)", "east", 1), ("(B)", "(A)", 0), ("(B)", "b", 1), ("B", "(b)", 1),
+             ("(B)", "the sun rises in the east", 1), ("(B)", "east or west", 0),
+             ("east", "east", 0),  # with a prompt the truth must be a choice letter
+             ("(B)", "East.", 1)]  # contains "east", no other choice text
+    df = spark.createDataFrame([(i, t, p, q) for i, (t, p, _) in enumerate(cases)],
+                               "i int, t string, p string, q string")
+    out = dict(rows(ar.with_answer_correct(df, "t", "p", "a", input_col="q"), "i", "a"))
+    assert [out[i] for i in range(len(cases))] == [e for _, _, e in cases]
+    # list accuracy over decodes with the prompt (A,A,B,C,C vs truth B -> 0.2)
+    df2 = spark.createDataFrame([(i, "(B)", a, q) for i, a in enumerate("AABCC")], "i int, t string, p string, q string")
+    r = ar.with_answer_correct(df2, "t", "p", "a", input_col="q").agg(F.avg("a")).first()[0]
+    assert r == pytest.approx(0.2)
