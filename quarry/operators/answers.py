@@ -93,12 +93,16 @@ def wrong_question_counts(results: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_wrong")))
 
 
-def multi_decode_accuracy(preds: DataFrame, qa: DataFrame, parse: bool = True) -> DataFrame:
+def multi_decode_accuracy(preds: DataFrame, qa: DataFrame, parse: bool = True,
+                          input_col: str | None = None) -> DataFrame:
     """Per (instruction, question) the mean 0/1 over all decodes.
-    ``parse=False`` scores ``raw_answer`` as already-parsed answers."""
+    ``parse=False`` scores ``raw_answer`` as already-parsed answers; with
+    ``input_col`` (a column of ``qa`` holding the prompt with its choices)
+    the multiple-choice rules apply."""
     p = parse_answers(preds) if parse else preds.withColumn("parsed_answer", F.col("raw_answer"))
-    p = p.join(qa.select("row_id", F.col("answer").alias("t")), "row_id", "left")
-    p = ar.with_answer_correct(p, "t", "parsed_answer", "acc")
+    cols = ["row_id", F.col("answer").alias("t")] + ([input_col] if input_col else [])
+    p = p.join(qa.select(*cols), "row_id", "left")
+    p = ar.with_answer_correct(p, "t", "parsed_answer", "acc", input_col=input_col)
     return p.groupBy("ins_md5", "row_id").agg(F.avg(F.col("acc").cast("double")).alias("accuracy"))
 
 
