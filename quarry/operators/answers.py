@@ -100,9 +100,12 @@ def multi_decode_accuracy(preds: DataFrame, qa: DataFrame, parse: bool = True,
     ``input_col`` (a column of ``qa`` holding the prompt with its choices)
     the multiple-choice rules apply."""
     p = parse_answers(preds) if parse else preds.withColumn("parsed_answer", F.col("raw_answer"))
-    cols = ["row_id", F.col("answer").alias("t")] + ([input_col] if input_col else [])
+    cols = ["row_id", F.col("answer").alias("t")]
+    if input_col:   # choice texts once per question, not once per decode
+        cols += [input_col, ar.choice_info(F.col(input_col)).alias("_choices")]
     p = p.join(qa.select(*cols), "row_id", "left")
-    p = ar.with_answer_correct(p, "t", "parsed_answer", "acc", input_col=input_col)
+    p = ar.with_answer_correct(p, "t", "parsed_answer", "acc", input_col=input_col,
+                               info_col="_choices" if input_col else None)
     return p.groupBy("ins_md5", "row_id").agg(F.avg(F.col("acc").cast("double")).alias("accuracy"))
 
 
