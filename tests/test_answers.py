@@ -116,3 +116,14 @@ def test_multiple_choice_branch(spark):
     df2 = spark.createDataFrame([(i, "(B)", a, q) for i, a in enumerate("AABCC")], "i int, t string, p string, q string")
     r = ar.with_answer_correct(df2, "t", "p", "a", input_col="q").agg(F.avg("a")).first()[0]
     assert r == pytest.approx(0.2)
+
+
+def test_choice_info_precomputed_equals_inline(spark):
+    q = "Pick one. (A) red (B) blue (C) green"
+    df = spark.createDataFrame([(i, t, p, q) for i, (t, p) in enumerate(
+        [("(A)", "red"), ("(C)", "I like green"), ("(B)", "red or blue"), ("(B)", "c")])],
+        "i int, t string, p string, q string")
+    inline = rows(ar.with_answer_correct(df, "t", "p", "a", input_col="q"), "i", "a")
+    pre = df.withColumn("ci", ar.choice_info(F.col("q")))
+    shared = rows(ar.with_answer_correct(pre, "t", "p", "a", input_col="q", info_col="ci"), "i", "a")
+    assert inline == shared == [(0, 1), (1, 1), (2, 0), (3, 0)]
