@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,11 +42,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Folder for lineage cuts and derived files.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only where that is unset (local tests) a scratch folder is made and set.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
+    a missing setting is an error there, because a machine-local folder would
+    lose files. Only a local master gets a scratch folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError(
+                f"set spark.checkpoint.dir to a folder all executors share (master {master!r})")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -56,16 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path under the shared folder."""
-    base = shared_dir(spark)
-    return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    """A fresh sub-path under the shared folder, unique across drivers that
+    share it: application id plus a random part."""
+    app = spark.conf.get("spark.app.id", "app")
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{app}-{uuid.uuid4().hex}"
