@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import mixing, packing, simhash, toxicity
+from . import lengths, mixing, packing, simhash, tokenfile, toxicity, vptree
 from .common import crc_mod5, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,11 +66,40 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "budget", "copies"))
 
 
+@register("op5_token_files")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.encode_and_read(table(spark, sf_dir, "documents"), end_id=1)
+
+
+@register("op7_length_histogram")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every length as a context limit, one end token per document."""
+    return lengths.context_limits(lengths.histogram(table(spark, sf_dir, "documents"), extra=1))
+
+
 @register("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), end_id=0)
 
 
+OP9_SQL = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)
+        / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS s
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INTEGER AS rank, vec_id, round(s, 9) AS score_9 FROM r WHERE rank <= 5
+"""
+
+
+@register("op9_nearest_vectors")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factor one: exact, the recall is one."""
+    return vptree.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, factor=1.0)
+
+
 @register("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
