@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import ASCII_LOWER, materialise, slices, text_bytes
+from .packed import cuts, pack, totals, unpack
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 END = b"\n"            # no word holds a newline
@@ -64,30 +65,6 @@ class Params:
     range_tokens: int = 2_000_000   # training and scoring tokens per hash range
 
 
-# ------------------------------------------------------------------- packing
-def _pack(x: np.ndarray, delta: bool = False) -> bytes:
-    """Unsigned integers, byte plane by byte plane, which shuffles compress."""
-    x = x.astype("<u8")
-    if delta and len(x):
-        x = np.concatenate([x[:1], x[1:] - x[:-1]])
-    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _unpack(b: bytes, delta: bool = False) -> np.ndarray:
-    x = np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
-    return np.cumsum(x, dtype=np.uint64) if delta else x
-
-
-def _range_of(keys: np.ndarray, n: int) -> np.ndarray:
-    """Hash range of each key, monotone in the key."""
-    return ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-
-
-def _cuts(keys: np.ndarray, n: int) -> np.ndarray:
-    """Where each range begins among sorted keys, and the end."""
-    return np.searchsorted(_range_of(keys, n), np.arange(n + 1, dtype=np.uint64))
-
-
 # --------------------------------------------------------------------- blocks
 def encode(docs: DataFrame, trainable: Column, p: Params, id_col: str, text_col: str) -> DataFrame:
     """One row per block of texts."""
@@ -186,53 +163,35 @@ def _ask(blocks: DataFrame, p: Params, n: int) -> DataFrame:
                 block = Block(row, p.order)
                 u, uc = block.vocab, block.word_counts()
                 g, gc = block.grams(counts=True)
-                cu, cg = _cuts(u, n), _cuts(g, n)
+                cu, cg = cuts(u, n), cuts(g, n)
                 some = [i for i in range(n) if cu[i] < cu[i + 1] or cg[i] < cg[i + 1]]
                 yield pa.RecordBatch.from_pydict(
                     {"p": pa.array(some, pa.int32()), "block": pa.array([row.block] * len(some), pa.int64()),
-                     "u_keys": [_pack(u[cu[i]:cu[i + 1]], True) for i in some],
-                     "u_counts": [_pack(uc[cu[i]:cu[i + 1]]) for i in some],
-                     "g_keys": [_pack(g[cg[i]:cg[i + 1]], True) for i in some],
-                     "g_counts": [_pack(gc[cg[i]:cg[i + 1]]) for i in some]})
+                     "u_keys": [pack(u[cu[i]:cu[i + 1]], True) for i in some],
+                     "u_counts": [pack(uc[cu[i]:cu[i + 1]]) for i in some],
+                     "g_keys": [pack(g[cg[i]:cg[i + 1]], True) for i in some],
+                     "g_counts": [pack(gc[cg[i]:cg[i + 1]]) for i in some]})
 
     return (blocks.select("block", "train", "ends", "vocab", "words").mapInArrow(run, ASK))
 
 
-def _totals(keys: list[np.ndarray], counts: list[np.ndarray]):
-    """For concatenated (keys, counts): each entry's total over equal keys,
-    whether it is the first of them with a count, and the distinct keys seen."""
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    if not len(k):
-        return c, np.zeros(0, bool), 0
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    size = np.diff(np.append(start, len(k)))
-    total = np.add.reduceat(c, start)
-    first = np.minimum.reduceat(np.where(c > 0, np.arange(len(k)), len(k)), start)
-    out, own = np.empty_like(c), np.zeros(len(k), bool)
-    out[order] = np.repeat(total, size)
-    own[order[first[first < len(k)]]] = True
-    return out, own, int((total > 0).sum())
-
-
 def _answer(ask: DataFrame, p: Params) -> DataFrame:
     """Each block's answer from each range: kind 0, (word totals; places of the
     listed n-grams; their totals, doubled, plus one in the first block)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
-        u = [_unpack(x, True) for x in pdf["u_keys"]]
-        total, _, words = _totals(u, [_unpack(x) for x in pdf["u_counts"]])
-        g = [_unpack(x, True) for x in pdf["g_keys"]]
-        listed, own, _ = _totals(g, [_unpack(x) for x in pdf["g_counts"]])
+        u = [unpack(x, True) for x in pdf["u_keys"]]
+        total, _, words = totals(u, [unpack(x) for x in pdf["u_counts"]])
+        g = [unpack(x, True) for x in pdf["g_keys"]]
+        listed, own, _ = totals(g, [unpack(x) for x in pdf["g_counts"]])
         cu, cg = (np.cumsum([0, *map(len, x)]) for x in (u, g))
         a, b, c = [], [], []
         for i in range(len(pdf)):
-            a.append(_pack(total[cu[i]:cu[i + 1]]))
+            a.append(pack(total[cu[i]:cu[i + 1]]))
             mine = listed[cg[i]:cg[i + 1]]
             at = np.flatnonzero(mine >= p.min_count)
-            b.append(_pack(at, True))
-            c.append(_pack(mine[at] * np.uint64(2) + own[cg[i]:cg[i + 1]][at].astype(np.uint64)))
+            b.append(pack(at, True))
+            c.append(pack(mine[at] * np.uint64(2) + own[cg[i]:cg[i + 1]][at].astype(np.uint64)))
         return pd.DataFrame({"block": pdf["block"].to_numpy(), "p": pdf["p"].to_numpy(), "kind": 0,
                              "a": a, "b": b, "c": c,
                              "n_words": [words] + [0] * (len(pdf) - 1)})
@@ -245,12 +204,12 @@ class _Model:
 
     def __init__(self, block: Block, answers: pd.DataFrame, n: int):
         first = answers[answers["kind"] == 0].sort_values("p")
-        self.word_total = (np.concatenate([_unpack(x) for x in first["a"]]) if len(first)
+        self.word_total = (np.concatenate([unpack(x) for x in first["a"]]) if len(first)
                            else np.zeros(0, np.uint64))
         grams = block.grams()
-        cut = _cuts(grams, n)
-        at = [_unpack(x, True).astype(np.int64) + cut[r] for r, x in zip(first["p"], first["b"])]
-        total = np.concatenate([_unpack(x) for x in first["c"]]) if len(first) else np.zeros(0, np.uint64)
+        cut = cuts(grams, n)
+        at = [unpack(x, True).astype(np.int64) + cut[r] for r, x in zip(first["p"], first["b"])]
+        total = np.concatenate([unpack(x) for x in first["c"]]) if len(first) else np.zeros(0, np.uint64)
         self.listed = grams[np.concatenate(at)] if at else grams[:0]
         self.own, self.total = (total & np.uint64(1)).astype(bool), total >> np.uint64(1)
 
@@ -291,12 +250,12 @@ def _context_sums(p: Params, n: int):
             into = np.searchsorted(keys, ctx)
             np.add.at(kept, into, model.total[at[use]])
             np.add.at(types, into, np.uint64(1))
-        cut = _cuts(keys, n)
+        cut = cuts(keys, n)
         some = [i for i in range(n) if cut[i] < cut[i + 1]]
         return pd.DataFrame({"p": some, "block": row.block,
-                             "keys": [_pack(keys[cut[i]:cut[i + 1]], True) for i in some],
-                             "kept": [_pack(kept[cut[i]:cut[i + 1]]) for i in some],
-                             "types": [_pack(types[cut[i]:cut[i + 1]]) for i in some]})
+                             "keys": [pack(keys[cut[i]:cut[i + 1]], True) for i in some],
+                             "kept": [pack(kept[cut[i]:cut[i + 1]]) for i in some],
+                             "types": [pack(types[cut[i]:cut[i + 1]]) for i in some]})
     return run
 
 
@@ -304,11 +263,11 @@ def _answer_sums(sums: DataFrame) -> DataFrame:
     """Kind 1: kept counts and types of every context a block asked for."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
-        keys = [_unpack(x, True) for x in pdf["keys"]]
-        kept, _, _ = _totals(keys, [_unpack(x) for x in pdf["kept"]])
-        types, _, _ = _totals(keys, [_unpack(x) for x in pdf["types"]])
+        keys = [unpack(x, True) for x in pdf["keys"]]
+        kept, _, _ = totals(keys, [unpack(x) for x in pdf["kept"]])
+        types, _, _ = totals(keys, [unpack(x) for x in pdf["types"]])
         cut = np.cumsum([0, *map(len, keys)])
-        part = lambda x, i: _pack(x[cut[i]:cut[i + 1]])
+        part = lambda x, i: pack(x[cut[i]:cut[i + 1]])
         return pd.DataFrame({"block": pdf["block"].to_numpy(), "p": pdf["p"].to_numpy(), "kind": 1,
                              "a": [part(kept, i) for i in range(len(pdf))],
                              "b": [part(types, i) for i in range(len(pdf))], "c": b"", "n_words": 0})
@@ -328,7 +287,7 @@ def _score(p: Params, n: int, train_tokens: int, words: int):
         model = _Model(block, right, n)
         keys, count = model.contexts(block, p)
         sums = right[right["kind"] == 1].sort_values("p")
-        total = lambda c: (np.concatenate([_unpack(x) for x in sums[c]]) if len(sums)
+        total = lambda c: (np.concatenate([unpack(x) for x in sums[c]]) if len(sums)
                            else np.zeros(0)).astype(np.float64)
         count = count.astype(np.float64)
         failure = 1 - (total("a") - p.discount * total("b")) / np.maximum(count, 1)

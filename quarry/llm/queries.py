@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import lengths, lm, mixing, packing, simhash, tokenfile, toxicity, vptree
+from . import lengths, lm, mixing, packing, quotes, simhash, tokenfile, toxicity, vptree
 from .common import crc_mod5, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.encode_and_read(table(spark, sf_dir, "documents"), end_id=1)
 
 
+@register("op6_quotation_linking")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 @register("op7_length_histogram")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every length as a context limit, one end token per document."""
