@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import lengths, lm, mixing, packing, quotes, simhash, tokenfile, toxicity, vptree
+from . import lengths, lm, mixing, packing, quotes, search, simhash, tokenfile, toxicity, vptree
 from .common import crc_mod5, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "budget", "copies"))
 
 
+OP3_SQL = """
+WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS term FROM documents),
+t AS (SELECT doc_id, term, count(*)::DOUBLE AS tf FROM w GROUP BY ALL),
+l AS (SELECT d.doc_id, coalesce(sum(tf), 0) AS len FROM documents d LEFT JOIN t USING (doc_id) GROUP BY 1),
+n AS (SELECT count(*)::DOUBLE AS n, sum(len) / count(*) AS mean FROM l),
+f AS (SELECT term, count(*)::DOUBLE AS df FROM t GROUP BY term),
+p AS (SELECT t.doc_id, t.term, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+        / (tf + 1.2 * (0.25 + 0.75 * len / mean)) AS weight FROM t JOIN l USING (doc_id) JOIN f USING (term), n),
+s AS (SELECT q.doc_id AS query_id, p.doc_id, round(sum(p.weight), 9) AS s
+      FROM t q JOIN p USING (term) WHERE q.doc_id % 20 = 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, doc_id, round(s, 6) AS score FROM r WHERE rank <= 10
+"""
+
+
+@register("op3_top_k_search", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 20, as a whole, against all."""
+    docs = table(spark, sf_dir, "documents")
+    got = search.top_k(docs, docs.where("doc_id % 20 = 0"))
+    return got.withColumn("score", F.round("score", 6))
+
+
 @register("op4_lm_score")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = lm.score(table(spark, sf_dir, "documents"), crc_mod5() != 1)
