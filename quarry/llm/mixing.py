@@ -180,7 +180,7 @@ def realise(rows: DataFrame, plan: DataFrame, seed: int = 1) -> DataFrame:
               # The end: blocks wholly inside the rest are in; the first that is not is cut.
               .select(*key, F.col("start").alias("_start"), F.col("t").alias("_t")))
     joined = dealt.join(placed, key)
-    whole = F.col("_start") + F.col("_t") <= F.col("rest")
+    whole = (F.col("rest") > 0) & (F.col("_start") + F.col("_t") <= F.col("rest"))
     out = F.col("_start") >= F.col("rest")
     cut = (joined.where(~whole & ~out)
            .withColumn("_run", F.sum("n_tokens").over(

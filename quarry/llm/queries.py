@@ -39,7 +39,7 @@ WITH d AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce
              '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::BIGINT AS n_tokens FROM documents),
 s AS (SELECT source, count(*) AS n_rows, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY source),
 t AS (SELECT sum(tokens)::DOUBLE AS total FROM s),
-p AS (SELECT s.*, ln(tokens / total) AS lp FROM s, t),
+p AS (SELECT s.*, CASE WHEN tokens > 0 THEN ln(tokens / total) END AS lp FROM s, t),
 m AS (SELECT min(lp) AS lo, max(lp) AS hi, greatest(0.0, 1 - ln(2.0) / nullif(max(lp) - min(lp), 0)) AS a0
       FROM p WHERE tokens > 0),
 e AS (SELECT lo, hi, coalesce(a0, 1.0) AS a FROM m),
@@ -54,7 +54,7 @@ o AS (SELECT *, sum(n_tokens) OVER (PARTITION BY source
         ORDER BY (o >> 30) % ceil(n_blocks / 256.0)::BIGINT, o, block, h, doc_id
         ROWS UNBOUNDED PRECEDING) AS run FROM k)
 SELECT doc_id, source, n_tokens, round(weight, 9) AS weight, budget,
-       budget // tokens + CASE WHEN run <= rest THEN 1 ELSE 0 END AS copies FROM o
+       budget // tokens + CASE WHEN rest > 0 AND run <= rest THEN 1 ELSE 0 END AS copies FROM o
 """
 
 
