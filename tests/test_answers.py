@@ -17,6 +17,35 @@ NORMALIZE = [
 ]
 
 
+MULTI_LINE = [("The answer is 42\n7 apples", "42"), ("12\n13", "12"),
+              ("The total is $12.\n\n13th", "12"), ("The answer is\nfoo 3\n4", "3"),
+              ("word " * 100_000 + "42", "42"), ("x" * 200_000 + " 5", "5"),
+              ("The answer is " + "1_" * 50_000 + "1", None)]
+
+
+def test_long_and_multi_line_answers(spark):
+    """Nothing overflows the regex engine's stack, and the number comes from
+    the first line that has one."""
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(MULTI_LINE)], "i int, s string")
+    out = dict(rows(ar.with_normalized_answer(df, "s", "n"), "i", "n"))
+    for i, (_, want) in enumerate(MULTI_LINE):
+        assert want is None or out[i] == want
+    cases = [("0.123456789", "0.1234567891"), ("0.123456789", "0.12355"), (None, "3"), ("2.5", "2.5000001 m")]
+    df = spark.createDataFrame([(i, t, p) for i, (t, p) in enumerate(cases)], "i int, t string, p string")
+    out = dict(rows(ar.with_number_included_correct(df, "t", "p", "ok"), "i", "ok"))
+    assert [out[i] for i in range(4)] == [1, 0, 0, 1]
+
+
+def test_prediction_without_question_and_no_threshold(spark):
+    preds = spark.createDataFrame([("m", "q", 0, "3"), ("m", "gone", 0, "3")],
+                                  "ins_md5 string, row_id string, decode_no int, raw_answer string")
+    qa = spark.createDataFrame([("q", "question", "3")], "row_id string, question string, answer string")
+    assert an.number_included_accuracy(preds, qa).first().accuracy == pytest.approx(50.0)
+    ledger = spark.createDataFrame([("a", 0.05, 1), ("b", 0.5, 2)], "ins_md5 string, score double, step int")
+    assert an.best_instructions(ledger, threshold=None).count() == 2
+    assert an.best_instructions(ledger).count() == 1
+
+
 def test_normalize_answer(spark):
     df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(NORMALIZE)], "i int, s string")
     out = dict(rows(ar.with_normalized_answer(df, "s", "n"), "i", "n"))
