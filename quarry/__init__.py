@@ -1,4 +1,4 @@
-"""quarry: Spark-native data-mining jobs.
+"""quarry: Spark-native analytics jobs.
 
 Every operator takes DataFrames and returns a DataFrame. Work is declared with
 the DataFrame API so Catalyst and AQE choose the physical plan; Python runs only

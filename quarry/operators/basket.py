@@ -19,20 +19,30 @@ def k_itemsets(b: DataFrame, k: int, hub_size: int = hubs.DEFAULT_HUB) -> DataFr
     """All k-combinations of each basket's distinct items, items ascending:
     ``(basket_id, i1..ik)``.
 
-    Built as k-1 theta self-joins ``i1 < i2 < ... < ik`` on the basket id,
-    the first one hub-split so a huge basket is spread over many tasks.
-    k = 0 gives one empty set per basket.
+    Built as k-1 theta self-joins ``i1 < i2 < ... < ik`` on the basket id.
+    The first is hub-split, and in each later one the sets of a huge basket are
+    dealt to as many cells as it has hub-sized parts, its items going to all of
+    them: a huge basket is spread over many tasks. k = 0 gives one empty set per
+    basket. The distinct baskets are written once.
     """
-    b = b.select("basket_id", "item").distinct()
+    from ..session import shared_dir
+    shared_dir(b.sparkSession)
+    b = b.select("basket_id", "item").distinct().checkpoint()
     if k == 0:
         return b.select("basket_id").distinct()
     if k == 1:
         return b.select("basket_id", F.col("item").alias("i1"))
     sets = hubs.pairs_sharing_key(b, "basket_id", "item", hub_size) \
         .select("basket_id", F.col("left").alias("i1"), F.col("right").alias("i2"))
+    big = hubs.hub_table(b, "basket_id", hub_size)
+    cells = F.coalesce(F.col("_r"), F.lit(1))
     for j in range(3, k + 1):
-        nxt = b.select("basket_id", F.col("item").alias(f"i{j}"))
-        sets = sets.join(nxt, "basket_id").where(F.col(f"i{j}") > F.col(f"i{j - 1}"))
+        own = F.pmod(F.xxhash64(*[f"i{i}" for i in range(1, j)]), cells.cast("long")).cast("int")
+        left = sets.join(big, "basket_id", "left").withColumn("_c", own).drop("_r")
+        nxt = (b.join(big, "basket_id", "left").withColumn("_c", F.explode(F.sequence(F.lit(0), cells - 1)))
+               .select("basket_id", "_c", F.col("item").alias(f"i{j}")))
+        sets = (left.join(nxt, ["basket_id", "_c"]).where(F.col(f"i{j}") > F.col(f"i{j - 1}"))
+                .drop("_c"))
     return sets
 
 

@@ -26,11 +26,11 @@ defaults are far tighter and cost one job per extra iteration).
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes,
                                        RandomForestClassifier)
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, MinMaxScaler, RegexTokenizer
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, MinMaxScaler,
+                                RegexTokenizer)
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,38 +38,31 @@ from pyspark.sql import functions as F
 from . import text as tx
 
 VOCAB = 200
-# Iterative optimizers run one job per iteration; partitions are sized by rows
-# so a small training set is not spread over many near-empty tasks.
-ROWS_PER_PARTITION = 50_000
 
 
-def sized(df: DataFrame, n_rows: int) -> DataFrame:
-    want = max(1, -(-n_rows // ROWS_PER_PARTITION))
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect)
-        return df.coalesce(want)
-    return df.coalesce(want) if have > want else df
-
-
-def featurize(train: DataFrame, test: DataFrame, text: str = "clean", label: str = "liked"):
-    """Fit tokenizer/vectorizer/scaler on ``train``; return (train, test) with
-    ``features`` and ``label`` columns, persisted for the model loop."""
+def _featurizer(train: DataFrame, text: str):
+    """Tokenizer, vocabulary and scaler fitted on ``train``: a function that
+    adds ``features`` to a table. The vocabulary breaks ties by term, so the
+    columns do not depend on the order of the rows."""
     tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=tx.TOKEN_PATTERN,
                          gaps=False, toLowercase=True)
-    cv = CountVectorizer(inputCol="_tok", outputCol="_cnt", vocabSize=VOCAB)
-    sc = MinMaxScaler(inputCol="_cnt", outputCol="_mm")
-    model = Pipeline(stages=[tok, cv, sc]).fit(train)
-    mm = model.stages[-1]
-    lo, hi = mm.originalMin.toArray(), mm.originalMax.toArray()
+    words = tok.transform(train).select(F.explode("_tok").alias("term"))
+    terms = (words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "term").limit(VOCAB).orderBy("term").collect())
+    cv = CountVectorizerModel.from_vocabulary([r["term"] for r in terms] or ["_"], inputCol="_tok",
+                                              outputCol="_cnt")
+    sc = MinMaxScaler(inputCol="_cnt", outputCol="_mm").fit(cv.transform(tok.transform(train)))
+    lo, hi = sc.originalMin.toArray(), sc.originalMax.toArray()
     mask = Vectors.dense([0.0 if a == b else 1.0 for a, b in zip(lo, hi)])
     zero_const = ElementwiseProduct(scalingVec=mask, inputCol="_mm", outputCol="features")
+    return (lambda df: zero_const.transform(sc.transform(cv.transform(tok.transform(df))))), len(terms) or 1
 
-    def run(df):
-        out = zero_const.transform(model.transform(df))
-        out = out.select("features", F.col(label).cast("double").alias("label"))
-        return sized(out, df.count()).persist(StorageLevel.MEMORY_AND_DISK)
-    return run(train), run(test)
+
+def _ready(df: DataFrame, label: str) -> DataFrame:
+    """Features and label in evenly sized partitions, kept for the many jobs of
+    an iterative fit; adaptive execution sizes them by bytes."""
+    return (df.select("features", F.col(label).cast("double").alias("label"))
+            .hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def models(n_train: int, n_features: int):
@@ -88,44 +81,30 @@ def models(n_train: int, n_features: int):
     ]
 
 
-MODEL_NAMES = ["GaussianNB", "RandomForestClassifier", "DecisionTreeClassifier",
-               "LogisticRegression", "SVC", "MLPClassifier"]
-
-
 def fit_predict(train: DataFrame, test: DataFrame, model: str, key: str = "doc_id",
                 text: str = "clean", label: str = "liked") -> DataFrame:
     """One model: fit on ``train``, predict ``test`` ->
     ``(key, label, prediction)``."""
-    tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=tx.TOKEN_PATTERN,
-                         gaps=False, toLowercase=True)
-    cv = CountVectorizer(inputCol="_tok", outputCol="_cnt", vocabSize=VOCAB)
-    sc = MinMaxScaler(inputCol="_cnt", outputCol="_mm")
-    feats = Pipeline(stages=[tok, cv, sc]).fit(train)
-    mm = feats.stages[-1]
-    lo, hi = mm.originalMin.toArray(), mm.originalMax.toArray()
-    mask = Vectors.dense([0.0 if a == b else 1.0 for a, b in zip(lo, hi)])
-    zero_const = ElementwiseProduct(scalingVec=mask, inputCol="_mm", outputCol="features")
-
-    def run(df):
-        return zero_const.transform(feats.transform(df)).withColumn(
-            "label", F.col(label).cast("double"))
-    n = train.count()
-    tr = sized(run(train), n).persist(StorageLevel.MEMORY_AND_DISK)
-    est = dict(models(n, VOCAB))[model]
-    out = est.fit(tr).transform(run(test)).select(
-        key, F.col("label").cast("int").alias("label"),
-        F.col("prediction").cast("int").alias("prediction"))
-    return out
+    add, width = _featurizer(train, text)
+    tr = _ready(add(train), label)
+    try:
+        fitted = dict(models(tr.count(), width))[model].fit(tr)
+    finally:
+        tr.unpersist()
+    out = fitted.transform(add(test).withColumn("label", F.col(label).cast("double")))
+    return out.select(key, F.col("label").cast("int").alias("label"),
+                      F.col("prediction").cast("int").alias("prediction"))
 
 
 def compare_classifiers(train: DataFrame, test: DataFrame, text: str = "clean",
                         label: str = "liked") -> DataFrame:
     """One row per model: ``(name, accuracy, tn, fp, fn, tp, pr_auc, rank)``."""
-    tr, te = featurize(train, test, text, label)
+    add, width = _featurizer(train, text)
+    tr, te = _ready(add(train), label), _ready(add(test), label)
     n = tr.count()
     spark = tr.sparkSession
     rows = []
-    for name, est in models(n, VOCAB):
+    for name, est in models(n, width):
         pred = est.fit(tr).transform(te).select(F.col("label").cast("int").alias("label"),
                                                 F.col("prediction").cast("int").alias("prediction"))
         m = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),

@@ -31,10 +31,6 @@ from pyspark.sql import functions as F
 from .sampling import md5_key
 
 
-def dims_of(points: DataFrame) -> int:
-    return points.select(F.size("features")).first()[0]
-
-
 def distance2(features, centroid) -> F.Column:
     terms = [(features[i] - F.lit(float(c))) * (features[i] - F.lit(float(c)))
              for i, c in enumerate(centroid)]
@@ -57,11 +53,16 @@ def assign(points: DataFrame, centroids) -> DataFrame:
     return points.select("id", nearest(F.col("features"), centroids).alias("cluster"))
 
 
-def cluster_means(points: DataFrame, labels: DataFrame, n_dims: int) -> DataFrame:
-    """Mean of each dimension per cluster (non-empty clusters only)."""
-    j = points.join(labels, "id")
-    return j.groupBy("cluster").agg(*[F.avg(F.col("features")[i]).alias(f"m{i}")
-                                      for i in range(n_dims)])
+def labelled(points: DataFrame, centroids) -> DataFrame:
+    """``points`` with their ``cluster``: one projection, no join."""
+    return points.withColumn("cluster", nearest(F.col("features"), centroids))
+
+
+def cluster_means(points: DataFrame, n_dims: int) -> DataFrame:
+    """Mean of each dimension per cluster (non-empty clusters only) of points
+    with a ``cluster``."""
+    return points.groupBy("cluster").agg(*[F.avg(F.col("features")[i]).alias(f"m{i}")
+                                           for i in range(n_dims)])
 
 
 def _labels_np(x: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -73,13 +74,16 @@ def _labels_np(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return d2.argmin(axis=1)
 
 
-def _update(points: DataFrame, centroids: list[list[float]]) -> list[list[float]]:
-    """One Lloyd update. Each Arrow batch labels its points with NumPy and
-    emits K partial sums; a K-row aggregate combines them. The centroids
+def _update(points: DataFrame, centroids: list[list[float]],
+            last: list[list[float]] | None = None) -> tuple[list[list[float]], int]:
+    """One Lloyd update: the new centroids, and how many points' labels differ
+    from those under ``last``. Each Arrow batch labels its points with NumPy
+    and emits K partial sums; a K-row aggregate combines them. The centroids
     ride in the closure, so no per-iteration code generation is needed."""
     c = np.asarray(centroids, dtype=float)
+    old = None if last is None else np.asarray(last, dtype=float)
     k, n = c.shape
-    schema = "cluster int, cnt long, " + ", ".join(f"s{i} double" for i in range(n))
+    schema = "cluster int, cnt long, moved long, " + ", ".join(f"s{i} double" for i in range(n))
 
     def partial(batches):
         import pandas as pd
@@ -88,22 +92,24 @@ def _update(points: DataFrame, centroids: list[list[float]]) -> list[list[float]
                 continue
             x = np.stack(pdf["features"].to_numpy()).astype(float)
             lab = _labels_np(x, c)
-            sums = np.zeros((k, n))
-            np.add.at(sums, lab, x)
+            moved = np.ones(len(x), bool) if old is None else lab != _labels_np(x, old)
             out = {"cluster": np.arange(k, dtype="int32"),
-                   "cnt": np.bincount(lab, minlength=k).astype("int64")}
+                   "cnt": np.bincount(lab, minlength=k).astype("int64"),
+                   "moved": np.bincount(lab, moved, minlength=k).astype("int64")}
             for i in range(n):
-                out[f"s{i}"] = sums[:, i]
+                out[f"s{i}"] = np.bincount(lab, x[:, i], minlength=k)
             yield pd.DataFrame(out)
 
     agg = (points.select("features").mapInPandas(partial, schema)
-           .groupBy("cluster").agg(F.sum("cnt").alias("cnt"),
+           .groupBy("cluster").agg(F.sum("cnt").alias("cnt"), F.sum("moved").alias("moved"),
                                    *[F.sum(f"s{i}").alias(f"s{i}") for i in range(n)]))
     new = [list(map(float, r)) for r in c]
+    moved = 0
     for r in agg.collect():
+        moved += r["moved"]
         if r["cnt"] > 0:
             new[r["cluster"]] = [r[f"s{i}"] / r["cnt"] for i in range(n)]
-    return new
+    return new, moved
 
 
 def assign_np(points: DataFrame, centroids) -> DataFrame:
@@ -126,18 +132,24 @@ def _id_type(points: DataFrame) -> str:
 def lloyd(points: DataFrame, init: list[list[float]], max_iter: int = 500,
           stop_when_stable: bool = True):
     """Lloyd iterations from ``init``. Returns (labels DataFrame, centroids
-    used for those labels, iterations run)."""
+    used for those labels, iterations run).
+
+    Stable means that no label changed in a round. Comparing the centroids
+    would not do: their sums depend, in the last digit, on the order in which
+    partial sums arrive.
+    """
     pts = points.select("id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    cur = [list(map(float, c)) for c in init]
-    used = cur
-    it = 0
-    for it in range(1, max_iter + 1):
-        used = cur
-        cur = _update(pts, used)
-        if stop_when_stable and cur == used:
-            break
-    labels = assign_np(pts, used)
-    return labels, used, it
+    try:
+        cur = [list(map(float, c)) for c in init]
+        used, it = cur, 0
+        for it in range(1, max_iter + 1):
+            last, used = (used if it > 1 else None), cur
+            cur, moved = _update(pts, used, last)
+            if stop_when_stable and moved == 0:
+                break
+    finally:
+        pts.unpersist()
+    return assign_np(points, used), used, it
 
 
 def kmeans_euclidean(points: DataFrame, init: list[list[float]], max_iter: int = 500):
@@ -210,12 +222,45 @@ def pca_first_component_2d(points: DataFrame) -> DataFrame:
     return c.select(ux.alias("c0"), uy.alias("c1"))
 
 
-def pca_per_cluster_2d(points: DataFrame, labels: DataFrame) -> DataFrame:
-    c = _covariance_2d(points.join(labels, "id"), ["cluster"])
+def pca_per_cluster_2d(points: DataFrame) -> DataFrame:
+    """First component of the points of each ``cluster``."""
+    c = _covariance_2d(points, ["cluster"])
     ux, uy = _first_component_2d(F.col("sxx"), F.col("syy"), F.col("sxy"))
     return c.select("cluster", ux.alias("c0"), uy.alias("c1"))
 
 
+def pca_per_cluster(points: DataFrame, n_dims: int) -> DataFrame:
+    """First component of each ``cluster`` in n dimensions, any n.
+
+    One aggregate gives each cluster's sums and products (n (n + 3) / 2
+    numbers a cluster, combined map-side); the eigenvectors of those small
+    matrices are taken with NumPy, one row per cluster. A cluster with one
+    point has a zero covariance and no component (null).
+    """
+    f = F.col("features")
+    pairs = [(i, j) for i in range(n_dims) for j in range(i, n_dims)]
+    cov = points.groupBy("cluster").agg(F.array(*[F.covar_samp(f[i], f[j]) for i, j in pairs]).alias("cov"))
+
+    def first(frames):
+        import pandas as pd
+        for pdf in frames:
+            out = []
+            for c in pdf["cov"]:
+                m = np.zeros((n_dims, n_dims))
+                if any(v is None or np.isnan(v) for v in c):
+                    out.append(None)
+                    continue
+                for (i, j), v in zip(pairs, c):
+                    m[i, j] = m[j, i] = v
+                v = np.linalg.eigh(m)[1][:, -1]
+                i = int(np.argmax(np.abs(v)))
+                out.append((v if v[i] >= 0 else -v).tolist())
+            yield pd.DataFrame({"cluster": pdf["cluster"], "component": out})
+
+    kind = points.schema["cluster"].dataType.simpleString()
+    return cov.mapInPandas(first, f"cluster {kind}, component array<double>")
+
+
 def pca_first_component(points: DataFrame) -> list[float]:
     """First principal component of n-D points with MLlib's distributed
     covariance (n x n on the driver), same sign convention as the 2-D form."""

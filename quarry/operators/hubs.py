@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_HUB = 2000
-# The hub table is broadcast only below this many rows; beyond, a shuffle join.
-MAX_BROADCAST_HUBS = 1_000_000
 
 
 def hub_table(df: DataFrame, key: str, hub_size: int) -> DataFrame:
@@ -29,16 +27,12 @@ def hub_table(df: DataFrame, key: str, hub_size: int) -> DataFrame:
 def pairs_sharing_key(df: DataFrame, key: str, item: str,
                       hub_size: int = DEFAULT_HUB) -> DataFrame:
     """``(key, left, right)`` for every two distinct items under one key,
-    left < right. Input rows ``(key, item)`` must be distinct."""
+    left < right. Input rows ``(key, item)`` must be distinct; ``df`` is read
+    twice, so hand over a written table. How the (short) hub table is joined
+    is left to Spark, which knows its bytes."""
     base = df.select(key, item)
     hubs = hub_table(base, key, hub_size)
-    n_hubs = hubs.count()
-    if n_hubs == 0:
-        left = base.select(key, F.col(item).alias("left"))
-        right = base.select(key, F.col(item).alias("right"))
-        return left.join(right, key).where(F.col("left") < F.col("right"))
-    h = F.broadcast(hubs) if n_hubs <= MAX_BROADCAST_HUBS else hubs
-    t = base.join(h, key, "left").withColumn("_r", F.coalesce(F.col("_r"), F.lit(1)))
+    t = base.join(hubs, key, "left").withColumn("_r", F.coalesce(F.col("_r"), F.lit(1)))
     own = F.pmod(F.xxhash64(F.col(item)), F.col("_r").cast("long")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_r") - 1))
     left = t.select(key, F.col(item).alias("left"), own.alias("_i"), every.alias("_j"))

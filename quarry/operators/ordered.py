@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
 
 
 def md5_bucket(hex_col: Column | str, digits: int = 3) -> Column:
@@ -27,24 +26,6 @@ def md5_bucket(hex_col: Column | str, digits: int = 3) -> Column:
     return F.conv(F.substring(c, 1, digits), 16, 10).cast("int")
 
 
-def quantile_bucket(df: DataFrame, key: str, n: int = DEFAULT_BUCKETS,
-                    accuracy: int = 10000) -> Column:
-    """Bucket column for ascending ``key`` from approximate quantiles.
-
-    One aggregate pass returns n-1 boundaries to the driver (bounded by n); the
-    bucket of a row is the number of boundaries below its key.
-    """
-    if n <= 1:
-        return F.lit(0)
-    probs = [i / n for i in range(1, n)]
-    row = df.agg(F.percentile_approx(key, probs, accuracy).alias("b")).first()
-    bounds = sorted(set(b for b in (row["b"] or []) if b is not None))
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b < F.col(key).cast("double")))
-
-
 def running_sums(df: DataFrame, bucket: str, order: list, values: list[str],
                  out: list[str], inclusive: bool = True) -> DataFrame:
     """Add running sums of ``values`` over the global order (bucket, *order).
@@ -98,10 +79,22 @@ def with_neighbours(df: DataFrame, bucket: str, order: list, cols: list[str],
     return res.drop("_pb", "_nb")
 
 
+def range_buckets(df: DataFrame, *order, name: str = "_b") -> DataFrame:
+    """``df`` cut into ranges of the ordering, one per shuffle partition, with
+    the range's number; written as a checkpoint, so the numbers stay. The
+    number of ranges follows ``spark.sql.shuffle.partitions``, as tasks do."""
+    from ..session import shared_dir
+    shared_dir(df.sparkSession)
+    return df.repartitionByRange(*order).withColumn(name, F.spark_partition_id()).checkpoint()
+
+
 def global_rank(df: DataFrame, hex_key: str, partition: list[str] | None = None,
-                digits: int = 3, out: str = "rank") -> DataFrame:
+                digits: int = 3, out: str = "rank", total: str | None = None,
+                least: str | None = None) -> DataFrame:
     """1-based rank of each row by ascending ``hex_key`` (an MD5 hex string),
-    optionally restarting per ``partition`` columns.
+    optionally restarting per ``partition`` columns. ``total`` adds the number
+    of rows (of the partition value), ``least`` the smallest such number; both
+    come from the bucket totals, not from another scan.
 
     Buckets come from the key's leading hex digits, so a hot partition value
     is still spread over 16**digits tasks. The broadcast offset table has one
@@ -113,8 +106,13 @@ def global_rank(df: DataFrame, hex_key: str, partition: list[str] | None = None,
     d = df.withColumn(b, md5_bucket(hex_key, digits)).withColumn("_one", F.lit(1))
     tot = d.groupBy(*partition, b).agg(F.count(F.lit(1)).alias("_t"))
     before = Window.partitionBy(*partition).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*partition, b, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+    off = tot.select(*partition, b, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"),
+                     F.sum("_t").over(Window.partitionBy(*partition)).alias("_all"))
+    off = off.withColumn("_least", F.min("_all").over(Window.partitionBy()))
     w = Window.partitionBy(*partition, b).orderBy(hex_key)
     res = (d.join(F.broadcast(off), [*partition, b])
            .withColumn(out, (F.col("_o") + F.row_number().over(w)).cast("bigint")))
-    return res.drop(b, "_one", "_o")
+    for name, col in ((total, "_all"), (least, "_least")):
+        if name:
+            res = res.withColumn(name, F.col(col))
+    return res.drop(b, "_one", "_o", "_all", "_least")

@@ -1,11 +1,11 @@
 """ROC curve, partial AUC and the precision sweep over ``(score, label)``.
 
 Rows are first grouped by distinct score (a partial aggregate, so ties and hot
-scores collapse map-side) and that table is checkpointed once, so the input is
-scanned a single time whatever reads the table afterwards. The running true/false positive counts over
-descending score then come from the bucketed running sums in ``ordered``: the
-distinct scores are cut into quantile buckets, each bucket is one window task
-and the offsets between buckets come from a one-row-per-bucket table.
+scores collapse map-side) and that table is range-partitioned by descending
+score and checkpointed once, so the input is scanned a single time whatever
+reads the table afterwards. The running true/false positive counts then come
+from the bucketed running sums in ``ordered``: each range is one window task
+and the offsets between ranges come from a one-row-per-range table.
 
 Semantics kept from the reference:
 * points are taken at distinct scores, cumulated over all rows;
@@ -26,8 +26,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import DEFAULT_BUCKETS, quantile_bucket, running_sums, with_neighbours
+from .ordered import range_buckets, running_sums, with_neighbours
 
+# The false-positive-rate ranges that are reported.
 RANGES = [(0.0, 1.0), (0.0, 0.4), (0.0, 0.75), (0.25, 0.75)]
 
 
@@ -38,21 +39,17 @@ def score_groups(scored: DataFrame, score: str = "score", label: str = "label")
 
 
 def grouped(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """The distinct-score table, cut once into a reliable checkpoint: the
-    quantiles, offsets, neighbours and totals all read it, so the input is
-    scanned and shuffled once."""
-    from ..session import shared_dir
-    shared_dir(scored.sparkSession)
-    return score_groups(scored, score, label).checkpoint()
+    """The distinct-score table in ranges of descending score: the offsets,
+    neighbours and totals all read it, so the input is scanned once."""
+    g = score_groups(scored, score, label).withColumn("_k", -F.col("score"))
+    return range_buckets(g, "_k")
 
 
-def _curve_rows(g: DataFrame, n_buckets: int) -> DataFrame:
+def _curve_rows(g: DataFrame) -> DataFrame:
     """Distinct scores with running counts and the keep flag.
 
     Columns: score, pos, neg, tps, fps, keep, _b, _k (order key = -score).
     """
-    g = g.withColumn("_k", -F.col("score"))
-    g = g.withColumn("_b", quantile_bucket(g, "_k", n_buckets))
     g = running_sums(g, "_b", ["_k"], ["pos", "neg"], ["tps", "fps"])
     g = with_neighbours(g, "_b", ["_k"], ["pos", "neg"], prev=True, nxt=True)
     keep = (~F.col("has_prev") | ~F.col("has_next")
@@ -65,12 +62,11 @@ def _totals(g: DataFrame):
     return g.agg(F.sum("pos")).scalar(), g.agg(F.sum("neg")).scalar()
 
 
-def roc_points(scored: DataFrame, score: str = "score", label: str = "label",
-               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_points(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """``(threshold, tps, fps, fpr, tpr, _b, _k)`` for the kept points plus
     the (0, 0, +inf) start."""
     g = grouped(scored, score, label)
-    rows = _curve_rows(g, n_buckets).where("keep")
+    rows = _curve_rows(g).where("keep")
     start = rows.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tps"),
         F.lit(0).cast("long").alias("fps"), F.lit(-1).alias("_b"),
@@ -82,15 +78,13 @@ def roc_points(scored: DataFrame, score: str = "score", label: str = "label",
               .withColumn("tpr", F.try_divide(F.col("tps").cast("double"), p))
 
 
-def roc_curve(scored: DataFrame, score: str = "score", label: str = "label",
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    return roc_points(scored, score, label, n_buckets).select("threshold", "fpr", "tpr")
+def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    return roc_points(scored, score, label).select("threshold", "fpr", "tpr")
 
 
-def partial_auc(scored: DataFrame, ranges=RANGES, score: str = "score", label: str = "label",
-                n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def partial_auc(scored: DataFrame, ranges=RANGES, score: str = "score", label: str = "label") -> DataFrame:
     """``(lo, hi, auc)`` per FPR range, all ranges in one aggregate."""
-    pts = roc_points(scored, score, label, n_buckets)
+    pts = roc_points(scored, score, label)
     pts = with_neighbours(pts, "_b", ["_k"], ["fpr"], prev=True, nxt=False)
     step = (F.col("fpr") - F.coalesce(F.col("prev_fpr"), F.col("fpr"))) * F.col("tpr")
     sums = [F.coalesce(F.sum(F.when((F.col("fpr") >= lo) & (F.col("fpr") <= hi), step)),
@@ -102,15 +96,14 @@ def partial_auc(scored: DataFrame, ranges=RANGES, score: str = "score", label: s
     return agg.select(rows.alias("r")).select("r.lo", "r.hi", "r.auc")
 
 
-def precision_sweep(scored: DataFrame, score: str = "score", label: str = "label",
-                    n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def precision_sweep(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Precision and accuracy of ``score > t`` at every ROC threshold.
 
     The counts above a threshold are the running counts one distinct score
     higher (tps - pos), so no threshold rescans the data.
     """
     g = grouped(scored, score, label)
-    rows = _curve_rows(g, n_buckets).where("keep")
+    rows = _curve_rows(g).where("keep")
     p, n = _totals(g)
     tp = F.col("tps") - F.col("pos")
     fp = F.col("fps") - F.col("neg")

@@ -10,8 +10,6 @@ window without PARTITION BY.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,24 +23,22 @@ def md5_key(seed, *cols: str):
 def split_train_test(df: DataFrame, key: str, test_frac: float = 0.1, seed=42) -> DataFrame:
     """Adds ``split`` = 'test' for the first ceil(test_frac * n) rows in MD5
     order, else 'train' (the test share is rounded up, as in the reference)."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    r = global_rank(df.withColumn("_h", md5_key(seed, key)), "_h", out="_rk")
-    n_test = F.ceil(F.lit(test_frac) * n)
+    r = global_rank(df.withColumn("_h", md5_key(seed, key)), "_h", out="_rk", total="_n")
+    n_test = F.ceil(F.lit(test_frac) * F.col("_n"))
     return r.withColumn("split", F.when(F.col("_rk") <= n_test, "test").otherwise("train")) \
-        .drop("_h", "_rk")
+        .drop("_h", "_rk", "_n")
 
 
 def split_train_eval_test(df: DataFrame, key: str, train_frac: float = 0.7,
                           eval_frac: float = 0.1, seed=0) -> DataFrame:
     """Adds ``split``: exactly int(train_frac*n) 'train' rows, int(eval_frac*n)
     'eval' rows of the rest, the remainder 'test'."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    r = global_rank(df.withColumn("_h", md5_key(seed, key)), "_h", out="_rk")
-    n_train = F.floor(F.lit(train_frac) * n)
-    n_eval = F.floor(F.lit(eval_frac) * n)
+    r = global_rank(df.withColumn("_h", md5_key(seed, key)), "_h", out="_rk", total="_n")
+    n_train = F.floor(F.lit(train_frac) * F.col("_n"))
+    n_eval = F.floor(F.lit(eval_frac) * F.col("_n"))
     split = (F.when(F.col("_rk") <= n_train, "train")
              .when(F.col("_rk") <= n_train + n_eval, "eval").otherwise("test"))
-    return r.withColumn("split", split).drop("_h", "_rk")
+    return r.withColumn("split", split).drop("_h", "_rk", "_n")
 
 
 def undersample_majority(df: DataFrame, key: str, label: str, seed=0) -> DataFrame:
@@ -52,20 +48,18 @@ def undersample_majority(df: DataFrame, key: str, label: str, seed=0) -> DataFra
     The rank restarts per label but is bucketed on MD5 digits, so even a
     class holding most rows is spread over many tasks.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    minority = counts.select(F.min("_n")).scalar()
-    r = global_rank(df.withColumn("_h", md5_key(seed, key)), "_h", partition=[label], out="_rk")
-    return r.where(F.col("_rk") <= minority).drop("_h", "_rk")
+    return _balanced(df, key, label, seed).drop("_h", "_rk", "_n", "_min")
+
+
+def _balanced(df: DataFrame, key: str, label: str, seed) -> DataFrame:
+    r = global_rank(df.withColumn("_h", md5_key(seed, key)), "_h", partition=[label], out="_rk",
+                    total="_n", least="_min")
+    return r.where(F.col("_rk") <= F.col("_min"))
 
 
 def cut_majority(df: DataFrame, key: str, label: str, seed=0) -> DataFrame:
-    """Only the rows kept from the majority class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    minority = counts.select(F.min("_n")).scalar()
-    bal = undersample_majority(df, key, label, seed)
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    major = sizes.where(F.col("_n") > minority).select(label)
-    return bal.join(major, label, "left_semi")
+    """Only the rows kept from the majority class (of both if equal, none)."""
+    return _balanced(df, key, label, seed).where(F.col("_n") > F.col("_min")).drop("_h", "_rk", "_n", "_min")
 
 
 def few_shot_sample(train: DataFrame, key: str, steps: int, n: int = 3) -> DataFrame:
@@ -93,8 +87,3 @@ def dedup_by_md5(texts: DataFrame, text: str, seen: DataFrame, seen_md5: str = "
 def remainder(all_ids: DataFrame, used: DataFrame, key: str) -> DataFrame:
     """Ids not in ``used`` (set difference as an anti-join)."""
     return all_ids.join(used.select(key), key, "left_anti")
-
-
-def exact_sizes(n: int, test_frac: float) -> tuple[int, int]:
-    n_test = math.ceil(test_frac * n)
-    return n - n_test, n_test

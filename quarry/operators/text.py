@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 from ..functions import porter
 from ..functions.stopwords import ENGLISH
 
-# Broadcast the stemmed vocabulary only below this many distinct tokens;
-# beyond, a shuffle join (AQE splits a hot token's partition).
-MAX_BROADCAST_VOCAB = 2_000_000
 # Python's \w\w+ between word boundaries: maximal runs of >= 2 Unicode letters,
 # digits or underscores. Stated as a class so Java and RE2 agree.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -39,40 +36,28 @@ def _raw_tokens(text_col):
     letters = F.lower(F.regexp_replace(text_col, "[^a-zA-Z]", " "))
     toks = F.split(F.trim(letters), r"\s+")
     toks = F.filter(toks, lambda t: t != "")
-    stop = F.array(*[F.lit(w) for w in ENGLISH])
-    return F.filter(toks, lambda t: ~F.array_contains(stop, t))
+    return F.filter(toks, lambda t: ~t.isin(*ENGLISH))      # a hash set
 
 
-@F.pandas_udf(T.StringType())
-def _stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(porter.stem)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _stem_udf(tokens: pd.Series) -> pd.Series:
+    """Stems of token arrays; each distinct word of a batch is stemmed once."""
+    stems = {w: porter.stem(w) for w in {w for t in tokens for w in t}}
+    return tokens.map(lambda t: [stems[w] for w in t])
 
 
 def clean_text(df: DataFrame, key: str = "doc_id", text: str = "review",
                stem: bool = True) -> DataFrame:
     """``(key, tokens, clean)``: cleaned token list and its space-joined text.
 
-    Stemming runs over the DISTINCT vocabulary only (an Arrow-batched pandas
-    UDF), whose result is checkpointed and joined back to the token rows;
-    each document's tokens are then re-assembled in their original order.
-    A document is one input row, so its regrouping is bounded by its own
-    length. Documents without tokens keep an empty text.
+    One map-only pass: the tokens are cut in the JVM, and an Arrow-batched
+    pandas UDF stems the distinct words of each batch. Nothing is shuffled.
+    Documents without tokens keep an empty text.
     """
-    base = df.select(key, _raw_tokens(F.coalesce(F.col(text), F.lit("nan"))).alias("_t"))
-    if not stem:
-        return base.select(key, F.col("_t").alias("tokens"),
-                           F.array_join("_t", " ").alias("clean"))
-    toks = base.select(key, F.posexplode("_t").alias("pos", "word"))
-    vocab = toks.select("word").distinct()
-    stems = vocab.withColumn("stem", _stem_udf("word")).checkpoint()
-    n_vocab = stems.count()
-    side = F.broadcast(stems) if n_vocab <= MAX_BROADCAST_VOCAB else stems
-    stemmed = toks.join(side, "word")
-    per_doc = stemmed.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "stem"))).alias("_s"))
-    out = base.select(key).join(per_doc, key, "left")
-    tokens = F.coalesce(F.transform("_s", lambda s: s["stem"]), F.array().cast("array<string>"))
-    return out.select(key, tokens.alias("tokens"), F.array_join(tokens, " ").alias("clean"))
+    base = df.select(key, _raw_tokens(F.coalesce(F.col(text), F.lit("nan"))).alias("tokens"))
+    if stem:
+        base = base.withColumn("tokens", _stem_udf("tokens"))
+    return base.select(key, "tokens", F.array_join("tokens", " ").alias("clean"))
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -119,17 +104,13 @@ def minmax_fit(train: DataFrame, cols: list[str]) -> DataFrame:
 
 def minmax_apply(df: DataFrame, fit: DataFrame, cols: list[str]) -> DataFrame:
     """(x - min) / (max - min); a constant training column gives 0 (not
-    Spark's MinMaxScaler 0.5). Test values may leave [0, 1].
-
-    Each bound is a scalar subquery over the one-row fit table.
-    """
+    Spark's MinMaxScaler 0.5). Test values may leave [0, 1]. The one row of
+    bounds is taken once and put into the projection."""
+    row = fit.first()
     out = df
     for c in cols:
-        lo = fit.select(f"{c}__min").scalar()
-        hi = fit.select(f"{c}__max").scalar()
-        rng = hi - lo
-        out = out.withColumn(c, F.when(rng == 0, F.lit(0.0))
-                             .otherwise((F.col(c) - lo) / rng))
+        lo, hi = F.lit(row[f"{c}__min"]), F.lit(row[f"{c}__max"])
+        out = out.withColumn(c, F.when(hi == lo, F.lit(0.0)).otherwise((F.col(c) - lo) / (hi - lo)))
     return out
 
 

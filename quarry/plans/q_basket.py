@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import basket as bk
 from . import bindings as b
 from .catalog import register
@@ -15,10 +17,15 @@ def q_item_cardinality(spark, d):
 
 
 @register("k_itemsets", B + """
-SELECT x.basket_id, x.item AS i1, y.item AS i2 FROM bk x JOIN bk y
-ON x.basket_id = y.basket_id AND x.item < y.item""")
+SELECT x.basket_id, CAST(count(*) AS BIGINT) AS n_sets, min(x.item || '|' || y.item) AS first_set,
+       max(x.item || '|' || y.item) AS last_set
+FROM bk x JOIN bk y ON x.basket_id = y.basket_id AND x.item < y.item GROUP BY x.basket_id""")
 def q_k_itemsets(spark, d):
-    return bk.k_itemsets(b.baskets(spark, d), 2)
+    """The 2-combinations of each basket, as a summary of every basket."""
+    both = F.concat_ws("|", "i1", "i2")
+    return bk.k_itemsets(b.baskets(spark, d), 2).groupBy("basket_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_sets"), F.min(both).alias("first_set"),
+        F.max(both).alias("last_set"))
 
 
 @register("itemset_support", B + """

@@ -49,7 +49,7 @@ def q_assign_cluster(spark, d):
 SELECT cluster, round(avg(x), 6) AS m0, round(avg(y), 6) AS m1 FROM lab GROUP BY cluster""")
 def q_cluster_means(spark, d):
     p = _points(spark, d)
-    m = cl.cluster_means(p, cl.assign(p, INIT_2D), 2)
+    m = cl.cluster_means(cl.labelled(p, INIT_2D), 2)
     return m.select("cluster", F.round("m0", 6).alias("m0"), F.round("m1", 6).alias("m1"))
 
 
@@ -96,7 +96,7 @@ def q_pca_first_component(spark, d):
 SELECT cluster, round(ux * fl, 6) AS c0, round(uy * fl, 6) AS c1 FROM ff""")
 def q_pca_per_cluster(spark, d):
     p = _points(spark, d)
-    r = cl.pca_per_cluster_2d(p, cl.assign(p, INIT_2D))
+    r = cl.pca_per_cluster_2d(cl.labelled(p, INIT_2D))
     return r.select("cluster", F.round("c0", 6).alias("c0"), F.round("c1", 6).alias("c1"))
 
 
@@ -108,6 +108,35 @@ def _embedding_init(spark, d):
     return e.select("id", "features"), [list(r["f"]) for r in rows]
 
 
+STEPS = 3
+
+
+def _steps_sql(points_sql, init, back="x AS f0, y AS f1"):
+    """Lloyd rounds as CTEs: k0 holds the start, k<i> the means of round i."""
+    k = len(init)
+    sql = points_sql + ",\nk0(k, cx, cy) AS (VALUES " + ", ".join(
+        f"({i}, {c[0]!r}::DOUBLE, {c[1]!r}::DOUBLE)" for i, c in enumerate(init)) + ")"
+    for s in range(1, STEPS + 1):
+        sql += f""",
+l{s} AS (SELECT id, x, y, k FROM (SELECT pt.*, k.k, row_number() OVER (PARTITION BY id ORDER BY
+           (x - cx) * (x - cx) + (y - cy) * (y - cy), k.k) AS r FROM pt, k{s - 1} k) WHERE r = 1),
+k{s} AS (SELECT o.k, coalesce(m.cx, o.cx) AS cx, coalesce(m.cy, o.cy) AS cy FROM k{s - 1} o LEFT JOIN
+          (SELECT k, avg(x) AS cx, avg(y) AS cy FROM l{s} GROUP BY k) m ON o.k = m.k)"""
+    return sql + f" SELECT k::INTEGER AS cluster, round(cx, 6) AS c0, round(cy, 6) AS c1 FROM k{STEPS}"
+
+
+@register("kmeans_steps", _steps_sql(PT, INIT_2D))
+def q_kmeans_steps(spark, d):
+    """The centroids after three Lloyd rounds on the 2-D line points: the
+    loop's rounds, one by one, against SQL."""
+    p = _points(spark, d)
+    cur = INIT_2D
+    for _ in range(STEPS):
+        cur, _moved = cl._update(p, cur)
+    return spark.createDataFrame([(i, round(c[0], 6), round(c[1], 6)) for i, c in enumerate(cur)],
+                                 "cluster int, c0 double, c1 double")
+
+
 @register("kmeans_euclidean")
 def q_kmeans_euclidean(spark, d):
     """Lloyd to convergence (at most 500 rounds) on the embeddings."""

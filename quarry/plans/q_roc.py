@@ -51,21 +51,22 @@ def _sweep_sql(src):
 SELECT threshold, round(precision, 6) AS precision, round(accuracy, 6) AS accuracy FROM sp"""
 
 
-def _pick_sql(src):
+def _pick_sql(src, lo, hi):
     return _sweep_body(src) + """
 SELECT threshold, round(precision, 6) AS precision, round(accuracy, 6) AS accuracy FROM sp
-WHERE precision >= 0.9 AND precision < 0.91 ORDER BY threshold DESC LIMIT 1"""
+WHERE precision >= {lo} AND precision < {hi} ORDER BY threshold DESC LIMIT 1""".format(lo=lo, hi=hi)
 
 
 def _r6(df, *cols):
     return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-BINDINGS = {"": (b.scored_lines, b.SCORED_LINES_SQL),
-            "_orders": (b.scored_orders, b.SCORED_ORDERS_SQL)}
+# The last two: a range of precision that the binding's sweep reaches.
+BINDINGS = {"": (b.scored_lines, b.SCORED_LINES_SQL, 0.3, 0.35),
+            "_orders": (b.scored_orders, b.SCORED_ORDERS_SQL, 0.3, 0.5)}
 
-for suffix, (load, src) in BINDINGS.items():
-    def _make(load=load):
+for suffix, (load, src, lo, hi) in BINDINGS.items():
+    def _make(load=load, lo=lo, hi=hi):
         def q_roc(spark, d):
             return _r6(roc.roc_curve(load(spark, d)), "fpr", "tpr")
 
@@ -76,7 +77,7 @@ for suffix, (load, src) in BINDINGS.items():
             return _r6(roc.precision_sweep(load(spark, d)), "precision", "accuracy")
 
         def q_pick(spark, d):
-            return _r6(roc.threshold_at_precision(roc.precision_sweep(load(spark, d))),
+            return _r6(roc.threshold_at_precision(roc.precision_sweep(load(spark, d)), lo, hi),
                        "precision", "accuracy")
         return q_roc, q_auc, q_sweep, q_pick
 
@@ -84,7 +85,7 @@ for suffix, (load, src) in BINDINGS.items():
     register("roc_curve" + suffix, _roc_sql(src))(f_roc)
     register("partial_auc" + suffix, _auc_sql(src))(f_auc)
     register("precision_sweep" + suffix, _sweep_sql(src))(f_sweep)
-    register("threshold_at_precision" + suffix, _pick_sql(src))(f_pick)
+    register("threshold_at_precision" + suffix, _pick_sql(src, lo, hi))(f_pick)
 
 
 @register("scored_labels", "WITH " + b.SCORED_LINES_SQL + " SELECT row_id, score, label FROM sl")

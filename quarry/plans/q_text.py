@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.stopwords import ENGLISH
 from ..operators import sampling as sm
 from ..operators import text as tx
 from ..session import shared_dir
@@ -17,8 +18,17 @@ def _labelled(spark, d):
     return tx.label_reviews(b.reviews(spark, d))
 
 
-def _split(spark, d):
-    return sm.split_train_test(_labelled(spark, d), "doc_id", 0.1, seed=42)
+def _split_keys(spark, d):
+    """``(doc_id, liked, split)``, written once: every later step reads it."""
+    shared_dir(spark)
+    keys = _labelled(spark, d).select("doc_id", "liked").checkpoint()
+    return sm.split_train_test(keys, "doc_id", 0.1, seed=42).checkpoint()
+
+
+def _with_text(spark, d, keys):
+    """The review texts of ``keys``, which may hold part of the reviews."""
+    text = b.table(spark, d, "documents", "doc_id", F.col("text").alias("review"))
+    return text.join(keys, "doc_id")
 
 
 @register("label_reviews", RV + " SELECT doc_id, liked FROM lr")
@@ -33,7 +43,7 @@ def q_class_balance(spark, d):
 
 @register("split_train_test", RV + " SELECT doc_id, liked, split FROM sp")
 def q_split_train_test(spark, d):
-    return _split(spark, d).select("doc_id", "liked", "split")
+    return _split_keys(spark, d).select("doc_id", "liked", "split")
 
 
 BAL_SQL = RV + """,
@@ -45,31 +55,33 @@ rk AS (SELECT tr.*, row_number() OVER (PARTITION BY liked ORDER BY md5('0|' || C
 bal AS (SELECT doc_id, liked FROM rk WHERE r <= (SELECT m FROM mn))"""
 
 
-def _balanced(spark, d):
-    tr = _split(spark, d).where(F.col("split") == "train")
-    return sm.undersample_majority(tr, "doc_id", "liked", seed=0)
+def _balanced(keys):
+    return sm.undersample_majority(keys.where(F.col("split") == "train"), "doc_id", "liked", seed=0)
 
 
 @register("undersample_majority", BAL_SQL + """
 SELECT doc_id, liked FROM bal WHERE liked IN (SELECT liked FROM cn WHERE n > (SELECT m FROM mn))""")
 def q_undersample_majority(spark, d):
-    tr = _split(spark, d).where(F.col("split") == "train")
+    tr = _split_keys(spark, d).where(F.col("split") == "train")
     return sm.cut_majority(tr, "doc_id", "liked", seed=0).select("doc_id", "liked")
 
 
 @register("concat_balanced", BAL_SQL + " SELECT doc_id, liked FROM bal")
 def q_concat_balanced(spark, d):
-    return _balanced(spark, d).select("doc_id", "liked")
+    """The cut majority class put together with the whole minority class."""
+    tr = _split_keys(spark, d).where(F.col("split") == "train").select("doc_id", "liked").checkpoint()
+    major = sm.cut_majority(tr, "doc_id", "liked", seed=0)
+    rest = tr.join(major.select("liked").distinct(), "liked", "left_anti")
+    return major.select("doc_id", "liked").unionByName(rest.select("doc_id", "liked"))
 
 
 def _clean_split(spark, d):
     """Cleaned balanced-train and test reviews: ``(doc_id, liked, split, clean)``."""
-    shared_dir(spark)
-    sp = _split(spark, d)
-    bal = _balanced(spark, d).select("doc_id")
-    rows = sp.join(bal, "doc_id", "left_semi").unionByName(sp.where(F.col("split") == "test"))
-    cleaned = tx.clean_text(rows, "doc_id", "review")
-    return rows.select("doc_id", "liked", "split").join(cleaned, "doc_id")
+    sp = _split_keys(spark, d)
+    keys = (_balanced(sp).unionByName(sp.where(F.col("split") == "test"))
+            .select("doc_id", "liked", "split").checkpoint())
+    cleaned = tx.clean_text(_with_text(spark, d, keys), "doc_id", "review")
+    return keys.join(cleaned, "doc_id").checkpoint()
 
 
 @register("compare_classifiers")
@@ -98,20 +110,39 @@ for _key, _model in [("clf_gaussian_nb", "GaussianNB"), ("clf_random_forest", "R
     register(_key)(_clf_key(_model))
 
 
-@register("rank_models")
+@register("rank_models", """
+WITH pr AS (SELECT l_returnflag || l_linestatus AS name, l_returnflag = 'R' AS label,
+                   l_discount >= 0.05 AS prediction FROM lineitem),
+ac AS (SELECT name, avg(CAST(label = prediction AS DOUBLE)) AS accuracy FROM pr GROUP BY name)
+SELECT name, round(accuracy, 6) AS accuracy,
+       CAST(row_number() OVER (ORDER BY accuracy DESC, name) AS BIGINT) AS rank FROM ac""")
 def q_rank_models(spark, d):
-    return q_compare_classifiers(spark, d).select("name", "accuracy", "rank")
+    """Models ranked by accuracy, ties by name; the lines of each flag and
+    status stand for one model's predictions."""
+    from ..operators.answers import rank_by_score
+    li = b.table(spark, d, "lineitem", "l_returnflag", "l_linestatus", "l_discount")
+    right = ((F.col("l_returnflag") == "R") == (F.col("l_discount") >= 0.05)).cast("double")
+    acc = li.groupBy(F.concat("l_returnflag", "l_linestatus").alias("name")).agg(F.avg(right).alias("accuracy"))
+    return rank_by_score(acc, "accuracy", "name").select("name", F.round("accuracy", 6).alias("accuracy"), "rank")
 
 
 @register("clean_text")
 def q_clean_text(spark, d):
-    """Balanced training reviews plus the test reviews, cleaned and stemmed
-    (checked by fixtures: the stemmer has no SQL form)."""
-    shared_dir(spark)
-    sp = _split(spark, d)
-    bal = _balanced(spark, d).select("doc_id")
-    rows = sp.join(bal, "doc_id", "left_semi").unionByName(sp.where(F.col("split") == "test"))
-    return tx.clean_text(rows, "doc_id", "review").select("doc_id", "clean")
+    """All reviews cleaned and stemmed (the stemmer has no SQL form: its words
+    are checked by fixtures, the steps before it by the next key)."""
+    return tx.clean_text(b.reviews(spark, d), "doc_id", "review").select("doc_id", "clean")
+
+
+@register("clean_text_unstemmed", RV + r""",
+tk AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(regexp_replace(
+         coalesce(review, 'nan'), '[^a-zA-Z]', ' ', 'g')), '\s+', ' ', 'g')), ' '),
+         lambda w: w <> '' AND NOT list_contains([""" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + r"""], w)) AS t
+       FROM rv)
+SELECT doc_id, array_to_string(t, ' ') AS clean, CAST(len(t) AS BIGINT) AS n_tokens FROM tk""")
+def q_clean_text_unstemmed(spark, d):
+    """All reviews cleaned, before stemming."""
+    c = tx.clean_text(b.reviews(spark, d), "doc_id", "review", stem=False)
+    return c.select("doc_id", "clean", F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
 TC_SQL = RV + r""",
@@ -122,22 +153,36 @@ vt AS (SELECT term, sum(n) AS corpus_n FROM tc WHERE split = 'train' GROUP BY te
 vocab AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index, corpus_n FROM vt)"""
 
 
-@register("bag_of_words", TC_SQL + """
-SELECT tc.doc_id, CAST(v.term_index AS BIGINT) AS term_index, tc.term, CAST(tc.n AS BIGINT) AS n
-FROM tc JOIN vocab v ON tc.term = v.term WHERE tc.split = 'test'""")
+FEATURES_SQL = TC_SQL + """
+SELECT tc.doc_id, tc.split, CAST(v.term_index AS BIGINT) AS term_index, tc.term, CAST(tc.n AS BIGINT) AS n
+FROM tc JOIN vocab v ON tc.term = v.term"""
+
+
+def term_counts(spark, d):
+    """``(doc_id, split, term, n)`` of all reviews, written once."""
+    sp = _split_keys(spark, d)
+    tc = tx.term_counts(_with_text(spark, d, sp), "doc_id", "review").join(sp.select("doc_id", "split"), "doc_id")
+    return tc.checkpoint()
+
+
+def features(spark, d):
+    tc = term_counts(spark, d)
+    vocab = tx.vocabulary(tc.where(F.col("split") == "train"), 200)
+    return (tc.join(F.broadcast(vocab.select("term", "term_index")), "term")     # 200 rows
+            .select("doc_id", "split", "term_index", "term", "n"))
+
+
+@register("bag_of_words", FEATURES_SQL)
 def q_bag_of_words(spark, d):
-    """Vocabulary of 200 fitted on the training reviews, applied to the test
-    reviews; long-form counts."""
-    sp = _split(spark, d)
-    return tx.bag_of_words(sp.where(F.col("split") == "train"), "doc_id", "review", 200,
-                           apply_to=sp.where(F.col("split") == "test"))
+    """Vocabulary of 200 fitted on the training reviews, applied to both
+    parts; long-form counts."""
+    return features(spark, d)
 
 
 @register("vocabulary", TC_SQL + """
 SELECT term, CAST(term_index AS BIGINT) AS term_index, CAST(corpus_n AS BIGINT) AS corpus_n FROM vocab""")
 def q_vocabulary(spark, d):
-    sp = _split(spark, d)
-    return tx.vocabulary(tx.term_counts(sp.where(F.col("split") == "train"), "doc_id", "review"), 200) \
+    return tx.vocabulary(term_counts(spark, d).where(F.col("split") == "train"), 200) \
         .select("term", "term_index", "corpus_n")
 
 
@@ -148,27 +193,21 @@ sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST(row_id
                       <= ceil(0.1 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM li)"""
 
 
-def _mm_expr(c):
-    return (f"round(CASE WHEN max({c}) FILTER (WHERE split='train') = min({c}) FILTER (WHERE split='train') "
-            f"THEN 0.0 ELSE ({c} - min({c}) FILTER (WHERE split='train') OVER ()) / "
-            f"(max({c}) FILTER (WHERE split='train') OVER () - min({c}) FILTER (WHERE split='train') OVER ()) END, 6)")
-
-
 @register("minmax_scale", LI_SPLIT_SQL + """,
 mm AS (SELECT """ + ", ".join(
     f"min({c}) FILTER (WHERE split = 'train') AS {c}_lo, max({c}) FILTER (WHERE split = 'train') AS {c}_hi"
     for c in MM_COLS) + """ FROM sp)
 SELECT row_id, """ + ", ".join(
     f"round(CASE WHEN {c}_hi = {c}_lo THEN 0.0 ELSE ({c} - {c}_lo) / ({c}_hi - {c}_lo) END, 6) AS {c}"
-    for c in MM_COLS) + """
-FROM sp, mm WHERE split = 'test'""")
+    for c in MM_COLS) + """, split
+FROM sp, mm""")
 def q_minmax_scale(spark, d):
-    """Scaler fitted on the training lines, applied to the test lines."""
+    """Scaler fitted on the training lines, applied to both parts."""
+    shared_dir(spark)
     li = b.table(spark, d, "lineitem", *b.LINE_KEY, *MM_COLS).withColumn("row_id", b.line_id())
-    sp = sm.split_train_test(li.select("row_id", *MM_COLS), "row_id", 0.1, seed=42)
+    sp = sm.split_train_test(li.select("row_id", *MM_COLS), "row_id", 0.1, seed=42).checkpoint()
     fit = tx.minmax_fit(sp.where(F.col("split") == "train"), MM_COLS)
-    out = tx.minmax_apply(sp.where(F.col("split") == "test"), fit, MM_COLS)
-    return out.select("row_id", *[F.round(c, 6).alias(c) for c in MM_COLS])
+    return tx.minmax_apply(sp, fit, MM_COLS).select("row_id", *[F.round(c, 6).alias(c) for c in MM_COLS], "split")
 
 
 PRED_SQL = """WITH pr AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,

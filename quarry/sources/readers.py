@@ -38,8 +38,9 @@ def forward_fill_headers(lines: DataFrame, header: F.Column) -> DataFrame:
 
     Inside each split: ``last(header, ignorenulls)`` over the split's lines.
     Across splits: a table with one row per split holds the split's last
-    header; a running ``last`` over that small table gives each split its
-    carry-in, broadcast back (its size is the number of splits).
+    header; a running ``last`` inside each file, and over a table with one row
+    per file, gives each split its carry-in. How the carry table is joined
+    back is left to Spark, which knows its bytes.
     Adds ``hdr`` (this line's own header or NULL) and ``current``.
     """
     d = lines.withColumn("hdr", header)
@@ -48,10 +49,15 @@ def forward_fill_headers(lines: DataFrame, header: F.Column) -> DataFrame:
     d = d.withColumn("_own", F.last("hdr", ignorenulls=True).over(w))
     per_split = d.groupBy("file", "block").agg(
         F.max_by("hdr", F.when(F.col("hdr").isNotNull(), F.col("pos"))).alias("_last"))
-    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_split.select("file", "block",
-                             F.last("_last", ignorenulls=True).over(before).alias("_carry"))
-    return (d.join(F.broadcast(carry), ["file", "block"])
+    above = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.last("_last", ignorenulls=True).over(above(Window.partitionBy("file").orderBy("block")))
+    per_file = per_split.groupBy("file").agg(
+        F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("block"))).alias("_flast"))
+    files = per_file.select("file", F.last("_flast", ignorenulls=True).over(
+        above(Window.orderBy("file"))).alias("_before"))
+    carry = (per_split.withColumn("_in", inside).join(files, "file")
+             .select("file", "block", F.coalesce("_in", "_before").alias("_carry")))
+    return (d.join(carry, ["file", "block"])
             .withColumn("current", F.coalesce("_own", "_carry")).drop("_own", "_carry"))
 
 

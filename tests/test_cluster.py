@@ -35,7 +35,8 @@ def test_ties_and_empty_cluster(spark):
     assert rows(cl.assign(p, [[0, 0], [2, 0], [100, 100]]))[0] == (0, 0)  # tie -> lower index
     _, used, _ = cl.lloyd(p, [[0, 0], [2, 0], [100, 100]], 1, stop_when_stable=False)
     assert used == [[0.0, 0.0], [2.0, 0.0], [100.0, 100.0]]
-    cur = cl._update(p, [[0, 0], [2, 0], [100, 100]])
+    cur, moved = cl._update(p, [[0, 0], [2, 0], [100, 100]], [[9, 9], [2, 0], [1, 0]])
+    assert moved == 2
     assert cur[2] == [100.0, 100.0]  # no point: centroid stays
 
 
@@ -99,3 +100,22 @@ def test_mahalanobis_any_dimension(spark):
     d = np.array([[(xi - c) @ a @ (xi - c) for c in np.asarray(init)] for xi in x])
     assert [c for _, c in rows(labels)] == d.argmin(1).tolist()
     assert np.allclose(used, init)
+
+
+def test_pca_per_cluster_any_dimension(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(60, 4)) * [1, 5, 2, 1] @ np.linalg.qr(rng.normal(size=(4, 4)))[0]
+    lab = np.arange(60) % 2
+    lab[0] = 9                                   # a cluster with one point
+    p = spark.createDataFrame([(i, [float(v) for v in x[i]], int(lab[i])) for i in range(60)],
+                              "id long, features array<double>, cluster int")
+    got = {r.cluster: r.component for r in cl.pca_per_cluster(p, 4).collect()}
+    assert got[9] is None
+    for c in (0, 1):
+        v = np.linalg.eigh(np.cov(x[lab == c].T))[1][:, -1]
+        v = v if v[np.abs(v).argmax()] >= 0 else -v
+        assert np.allclose(got[c], v)
+    two = p.select("id", F.slice("features", 1, 2).alias("features"), "cluster").where("cluster < 2")
+    flat = {r.cluster: (r.c0, r.c1) for r in cl.pca_per_cluster_2d(two).collect()}
+    for r in cl.pca_per_cluster(two, 2).collect():
+        assert np.allclose(r.component, flat[r.cluster])
