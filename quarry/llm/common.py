@@ -8,12 +8,15 @@ in ``worker_state()``, a process-wide dictionary of the reused Python worker.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +24,10 @@ from ..session import scratch_path
 
 # A-Z to a-z, every other byte unchanged.
 ASCII_LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
-# Text handled at once inside a task; bounds the Python objects alive.
-SLICE_BYTES = 2 << 20
+# The same, with tab, newline, VT, FF and CR as blanks.
+LOWER_BLANK = bytes(32 if 9 <= i <= 13 else i for i in ASCII_LOWER)
+# Text handled at once inside a task; bounds the objects and arrays alive.
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,18 +73,110 @@ def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(from, texts) of consecutive slices of a binary column, of about
+    ``limit`` bytes; then memory that a batch no longer needs is given back."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < len(column):
+        before = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield i, column.slice(i, j - i).to_pylist()
+        i = j
+    release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system: idle workers share an executor's."""
+    pa.default_memory_pool().release_unused()
+    if "libc" not in worker_state():
+        try:
+            worker_state()["libc"] = ctypes.CDLL("libc.so.6").malloc_trim
+        except (OSError, AttributeError):       # another C library
+            worker_state()["libc"] = None
+    if worker_state()["libc"]:
+        worker_state()["libc"](0)
+
+
+# ------------------------------------------------------------------ word hashes
+_BASE = 0x9E3779B97F4A7C15          # odd, so it has an inverse modulo 2**64
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, up to the n-th."""
+    got = worker_state().get("powers")
+    if got is None or len(got[0]) <= n:
+        one = np.ones(1, np.uint64)
+        got = tuple(np.cumprod(np.concatenate([one, np.full(n, x, np.uint64)]), dtype=np.uint64)
+                    for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+        worker_state()["powers"] = got
+    return got
+
+
+def hash_runs(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each run ``begin .. end``: a polynomial in
+    the bytes from one running sum over the buffer, then mixed."""
+    power, inverse = _powers(max(len(buf), SLICE_BYTES + 1024))
+    run = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(buf * power[:len(buf)], out=run[1:])
+    h = (run[end] - run[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * np.uint64(_BASE)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _cut_long(text: bytes) -> list[bytes]:
+    """A text in parts of at most a slice, cut at blanks (one word at least)."""
+    parts, at = [], 0
+    while len(text) - at > SLICE_BYTES:
+        cut = text.rfind(b" ", at, at + SLICE_BYTES)
+        if cut <= at:
+            cut = text.find(b" ", at + SLICE_BYTES)
+            if cut < 0:
+                break
+        parts.append(text[at:cut])
+        at = cut
+    parts.append(text[at:])
+    return parts
+
+
+def word_hashes(texts: list[bytes], table: bytes = LOWER_BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, and each text's number of words.
+    ``table`` translates the bytes first; words are what blanks leave."""
+    parts, owner = [], []
+    for i, x in enumerate(texts):
+        more = _cut_long(x.translate(table))
+        parts += more
+        owner += [i] * len(more)
+    hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for i, j in slices(parts):
+        buf = np.frombuffer(b" " + b" ".join(parts[i:j]) + b" ", np.uint8)
+        word = buf != 32
+        begin = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+        end = np.flatnonzero(word[:-1] & ~word[1:]) + 1
+        hashes.append(hash_runs(buf, begin, end))
+        starts = np.cumsum([1, *(len(x) + 1 for x in parts[i:j])])
+        sizes.append(np.diff(np.searchsorted(begin, starts)))
+    return (np.concatenate(hashes),
+            np.bincount(owner, np.concatenate(sizes), minlength=len(texts)).astype(np.int64))
+
+
 class WordTokenizer:
-    """Encode texts with a ``tokenizers`` file, reusing the ids of known words.
+    """Encode texts with a ``tokenizers`` file, encoding each distinct word once.
 
     The tokenizer (``word_bpe_49k.json``) drops white space and never lets a
     token cross it, so a text's ids are its white-space pieces' ids in order.
-    Pieces are cached as id bytes in two generations of at most ``cap`` pieces,
-    so memory is bounded. Pieces that are plain letters skip the (slow)
-    normaliser, whose result on them is known; all others, and whole texts
-    that could hold a special token's string, go through the full tokenizer.
+    numpy cuts a slice of texts into pieces and hashes them (64 bits); ids of
+    known hashes come from sorted arrays, which hold at most ``cap`` pieces.
+    A full stop or comma after an ASCII letter at a piece's end is a token
+    group of its own in this tokenizer and so is cut off as a piece. Unknown
+    pieces of plain letters skip the (slow) normaliser, whose result on them is
+    known; all others, and whole texts that could hold a special token's
+    string, go through the full tokenizer.
     """
 
-    def __init__(self, path: str | None = None, cap: int = 400_000):
+    def __init__(self, path: str | None = None, cap: int = 1_000_000):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
@@ -98,8 +195,7 @@ class WordTokenizer:
         self.is_end[ends] = True
         self.dtype = np.dtype("<u2" if self.full.get_vocab_size() <= 1 << 16 else "<u4")
         self.cap = cap
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self._forget()
 
     @classmethod
     def shared(cls, path: str | None = None) -> "WordTokenizer":
@@ -109,6 +205,11 @@ class WordTokenizer:
             state[key] = cls(path)
         return state[key]
 
+    def _forget(self) -> None:
+        # Two tiers of sorted hashes with places in ``ids``; the small one takes new pieces.
+        self.tiers = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in range(2)]
+        self.ids, self.n_ids = np.zeros(1 << 16, self.dtype), 0
+
     def _pack(self, encodings) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in encodings]
 
@@ -121,63 +222,128 @@ class WordTokenizer:
         buf, cut = ids.tobytes(), cut.tolist()
         return [buf[a:b] for a, b in zip([0, *cut], cut)]
 
-    def _learn(self, words: Iterable[bytes]) -> None:
-        new, old = self.new, self.old
-        miss = []
-        for w in words:
-            known = old.get(w)
-            if known is None:
-                miss.append(w)
-            else:
-                new[w] = known
-        ends: list[tuple[bytes, bytes]] = []   # letters followed by one . or ,
+    def _encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, A-Z already lowered."""
+        out: list[bytes] = [b""] * len(pieces)
         plain, accented, texts, rest = [], [], [], []
-        queued = set(miss)
-        for w in miss:
-            body = w if w.isalpha() else w[:-1] if w.endswith((b".", b",")) else w
-            if not body.isalpha():             # bytes: true for ASCII letters alone
-                text = body.decode("utf-8", "replace").lower()
-                if not text.isalpha() or max(text) > "ſ" or not unicodedata.is_normalized("NFC", text):
-                    rest.append(w)
-                    continue
-            if body is not w:
-                ends.append((w, body))
-                if body in new or body in queued:
-                    continue
-                if body in old:
-                    new[body] = old[body]
-                    continue
-                queued.add(body)
-            if body.isalpha():
-                plain.append(body)
-            else:
-                accented.append(body)
+        for i, w in enumerate(pieces):
+            if w.isalpha():                        # bytes: true for ASCII letters alone
+                plain.append(i)
+                continue
+            text = w.decode("utf-8", "replace").lower()
+            if text.isalpha() and max(text) <= "ſ" and unicodedata.is_normalized("NFC", text):
+                accented.append(i)
                 texts.append(text)
+            else:
+                rest.append(i)
+        got = []
         if plain:
-            new.update(zip(plain, self._pack_words(self.bare, b" ".join(plain).decode(), len(plain))))
+            got.append((plain, self._pack_words(self.bare, b" ".join([pieces[i] for i in plain]).decode(), len(plain))))
         if accented:
-            new.update(zip(accented, self._pack_words(self.letters, " ".join(texts), len(texts))))
-        rest += [p for p in (b".", b",") if p not in new]
-        got = self._pack(self.full.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in rest], add_special_tokens=False))
-        new.update(zip(rest, got))
-        for w, body in ends:
-            new[w] = new[body] + new[w[-1:]]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The little-endian ids of each text, ``dtype`` wide."""
-        out: list[bytes] = []
-        for i, j in slices(texts):
-            parts = texts[i:j]
-            words = [None if b"<|" in x else x.translate(ASCII_LOWER).split() for x in parts]
-            miss = set().union(*(w for w in words if w is not None)) - self.new.keys()
-            if miss:
-                if len(self.new) + len(miss) > self.cap:
-                    self.old, self.new = self.new, {}
-                    miss = set().union(*(w for w in words if w is not None))
-                self._learn(miss)
-            get = self.new.__getitem__
-            for x, w in zip(parts, words):
-                out.append(b"".join(map(get, w)) if w is not None else self._pack(
-                    [self.full.encode(x.decode("utf-8", "replace"), add_special_tokens=False)])[0])
+            got.append((accented, self._pack_words(self.letters, " ".join(texts), len(texts))))
+        if rest:
+            got.append((rest, self._pack(self.full.encode_batch_fast(
+                [pieces[i].decode("utf-8", "replace") for i in rest], add_special_tokens=False))))
+        for places, ids in got:
+            for i, x in zip(places, ids):
+                out[i] = x
         return out
+
+    def _cut(self, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where pieces begin and end in a buffer that starts and ends with a blank."""
+        blank = buf == 32
+        mark = (buf == 46) | (buf == 44)                      # . and ,
+        mark[1:-1] &= blank[2:] & _LETTER[buf[:-2]]
+        mark[0] = mark[-1] = False
+        begin = np.flatnonzero(~blank[1:] & (blank[:-1] | mark[1:])) + 1
+        end = np.flatnonzero(~blank[:-1] & (blank[1:] | mark[1:])) + 1
+        return begin, end
+
+    def _lookup(self, buf: bytes, begin, end, hashes) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of ids for distinct sorted hashes, given one piece of each."""
+        at, size = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1, np.int32)
+        for known, place, n in self.tiers:
+            if len(known):
+                i = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[i] == hashes
+                at[hit], size[hit] = place[i[hit]], n[i[hit]]
+        miss = np.flatnonzero(size < 0)
+        if not len(miss):
+            return at, size
+        if sum(len(t[0]) for t in self.tiers) + len(miss) > self.cap and len(miss) < len(hashes):
+            self._forget()
+            return self._lookup(buf, begin, end, hashes)
+        packed = self._encode_pieces([buf[a:b] for a, b in zip(begin[miss].tolist(), end[miss].tolist())])
+        n = np.fromiter(map(len, packed), np.int32, len(packed)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(packed), self.dtype)
+        if self.n_ids + len(flat) > len(self.ids):
+            bigger = np.zeros(2 * (self.n_ids + len(flat)), self.dtype)
+            bigger[:self.n_ids] = self.ids[:self.n_ids]
+            self.ids = bigger
+        self.ids[self.n_ids:self.n_ids + len(flat)] = flat
+        place = self.n_ids + np.cumsum(n, dtype=np.int64) - n
+        self.n_ids += len(flat)
+        at[miss], size[miss] = place, n
+        new = (hashes[miss], place, n)
+        self.tiers[1] = self._merged(self.tiers[1], new)
+        if len(self.tiers[1][0]) > 100_000:
+            self.tiers = [self._merged(*self.tiers), (new[0][:0], new[1][:0], new[2][:0])]
+        return at, size
+
+    @staticmethod
+    def _merged(a, b):
+        where = np.searchsorted(a[0], b[0])
+        return tuple(np.insert(x, where, y) for x, y in zip(a, b))
+
+    def _pieces(self, parts: list[bytes]):
+        """For a slice of texts: each text's first piece, each piece's place and
+        number of ids in ``ids``."""
+        joined = b" " + b" ".join(parts) + b" "
+        buf = np.frombuffer(joined, np.uint8)
+        begin, end = self._cut(buf)
+        uniq, first, inv = np.unique(hash_runs(buf, begin, end), return_index=True, return_inverse=True)
+        at, size = self._lookup(joined, begin[first], end[first], uniq)
+        starts = np.cumsum([1, *(len(x) + 1 for x in parts)])
+        return np.searchsorted(begin, starts), at[inv], size[inv]
+
+    def _parts(self, texts: list[bytes]):
+        """The texts in parts of at most a slice, each with its text's number;
+        texts that could hold a special token's string stay out."""
+        parts, owner = [], []
+        for i, x in enumerate(texts):
+            if b"<|" not in x:
+                more = _cut_long(x.translate(LOWER_BLANK))
+                parts += more
+                owner += [i] * len(more)
+        for i, j in slices(parts):
+            yield owner[i:j], self._pieces(parts[i:j])
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.full.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, self.dtype)
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list = [None] * len(texts)
+        for owner, (first, at, size) in self._parts(texts):
+            ends = np.cumsum(size, dtype=np.int64)
+            ids = self.ids[np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+            cut = np.concatenate([[0], ends])[first].tolist()
+            for k, i in enumerate(owner):
+                got = ids[cut[k]:cut[k + 1]]
+                out[i] = got if out[i] is None else np.concatenate([out[i], got])
+        return [self._whole(x) if got is None else got for x, got in zip(texts, out)]
+
+    def lengths(self, texts: list[bytes]) -> np.ndarray:
+        """The number of ids of each text."""
+        out = np.zeros(len(texts), np.int64)
+        for owner, (first, _, size) in self._parts(texts):
+            total = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])[first]
+            np.add.at(out, owner, np.diff(total))
+        for i, x in enumerate(texts):
+            if b"<|" in x:
+                out[i] = len(self._whole(x))
+        return out
+
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[97:123] = True

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import running_sums
-from .common import WordTokenizer, materialise, text_bytes
+from .common import WordTokenizer, materialise, text_bytes, text_slices
 
 
 def encoded_lengths(docs: DataFrame, tokenizer: str | None = None, extra: int = 0,
@@ -29,10 +29,9 @@ def encoded_lengths(docs: DataFrame, tokenizer: str | None = None, extra: int =
     """``(n_tokens)`` of every row, with ``extra`` special tokens each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = WordTokenizer.shared(tokenizer)
-        width = tok.dtype.itemsize
         for b in batches:
-            n = [len(x) // width + extra for x in tok.encode(b.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n_tokens"])
+            for _, texts in text_slices(b.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(tok.lengths(texts) + extra)], ["n_tokens"])
 
     return docs.select(text_bytes(text_col).alias("_t")).mapInArrow(run, "n_tokens long")
 

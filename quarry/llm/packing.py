@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTokenizer, materialise, slices, text_bytes
+from .common import WordTokenizer, materialise, text_bytes, text_slices
 
 MEMBER = "cell long, island int, member int, uids array<long>, lengths array<int>, bins array<int>"
 
@@ -56,11 +56,10 @@ def pieces(docs: DataFrame, capacity: int, end_id: int, tokenizer: str | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = WordTokenizer.shared(tokenizer)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in slices(texts):
+            for i, texts in text_slices(b.column(1)):
                 row, piece, length, crc = [], [], [], []
-                for k, ids in enumerate(tok.encode(texts[i:j]), i):
-                    ids = np.append(np.frombuffer(ids, tok.dtype), end_id).astype("<u4")
+                for k, ids in enumerate(tok.encode(texts), i):
+                    ids = np.append(ids, end_id).astype("<u4")
                     for p, at in enumerate(range(0, len(ids), capacity)):
                         part = ids[at:at + capacity]
                         row.append(k)

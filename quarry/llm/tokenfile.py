@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import WordTokenizer, slices, text_bytes
+from .common import WordTokenizer, text_bytes, text_slices
 
 MAGIC = b"WVM1"
 BLOCK = 512           # bits between two running counts
@@ -178,10 +178,9 @@ def write_files(docs: DataFrame, path: str, end_id: int, tokenizer: str | None =
                 ["part", "shard", "n_docs", "n_tokens", "file"])
 
         for b in batches:
-            texts, doc_ids = b.column(1).to_pylist(), b.column(0).to_pylist()
-            for i, j in slices(texts):
-                for name, got in zip(doc_ids[i:j], tok.encode(texts[i:j])):
-                    x = np.append(np.frombuffer(got, tok.dtype), tok.dtype.type(end_id))
+            for i, texts in text_slices(b.column(1)):
+                for name, got in zip(b.column(0).slice(i, len(texts)).to_pylist(), tok.encode(texts)):
+                    x = np.append(got, tok.dtype.type(end_id))
                     if ids and held + len(x) > shard_tokens:
                         yield flush()
                         shard, ids, names, held = shard + 1, [], [], 0
