@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_bytes
+from .common import materialise, text_bytes, text_slices
 
 BLOCK_ROWS = 512
 SUPER = 256           # blocks of a first-level sum
@@ -43,9 +43,11 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     than blank, tab, newline, VT, FF and CR."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = [len(x.split()) for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())],
-                                             ["uid", "source", "n_tokens"])
+            for i, texts in text_slices(b.column(2)):
+                n = [len(x.split()) for x in texts]
+                part = b.slice(i, len(texts))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64())],
+                                                 ["uid", "source", "n_tokens"])
 
     kinds = [docs.schema[c].dataType.simpleString() for c in (id_col, source_col)]
     return (docs.select(F.col(id_col).alias("uid"), F.col(source_col).alias("source"),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, materialise, slices, text_bytes
+from .common import ASCII_LOWER, materialise, slices, text_bytes, text_slices
 from .components import components
 
 SEED = 42
@@ -79,8 +79,9 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id",
     """``(id, fp long)`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = fingerprint_texts(b.column(1).to_pylist(), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], [id_col, "fp"])
+            for i, texts in text_slices(b.column(1)):
+                fp = fingerprint_texts(texts, shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, len(texts)), pa.array(fp)], [id_col, "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col), text_bytes(text_col).alias("_t"))

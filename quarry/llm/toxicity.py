@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices, text_bytes
+from .common import materialise, release, slices, text_bytes, text_slices, word_hashes
 
 # A-Z to a-z, other ASCII bytes that are no letter or digit to a blank.
 _WORD_BYTES = bytes(i + 32 if 65 <= i <= 90 else i if i >= 128 or chr(i).isalnum() else 32
@@ -64,11 +64,8 @@ class Model:
 
 def features(texts: list[bytes], skips: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, feature hash) of every word, pair and skip pair, with repeats."""
-    import xxhash
-    words = [x.translate(_WORD_BYTES).split() for x in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    n = int(sizes.sum())
-    h = np.fromiter((xxhash.xxh64_intdigest(w) for ws in words for w in ws), np.uint64, n)
+    h, sizes = word_hashes(texts, _WORD_BYTES)
+    n = len(h)
     doc = np.repeat(np.arange(len(texts)), sizes)
     shift = np.uint64(64 - HASH_BITS)
     docs, keys = [doc], [(h * _MIX[0]) >> shift]
@@ -208,8 +205,9 @@ def score(docs: DataFrame, model: Model, params: Params = Params(),
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = score_texts(b.column(1).to_pylist(), model, skips)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], [id_col, "score"])
+            for i, texts in text_slices(b.column(1)):
+                s = score_texts(texts, model, skips)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, len(texts)), pa.array(s)], [id_col, "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col), text_bytes(text_col).alias("_t"))
@@ -224,6 +222,8 @@ def reject(docs: DataFrame, model: Model, params: Params = Params(),
     @F.pandas_udf("double")
     def toxic(texts):
         import pandas as pd
-        return pd.Series(score_texts(texts.tolist(), model, skips))
+        got = pd.Series(score_texts(texts.tolist(), model, skips))
+        release()
+        return got
 
     return docs.where(toxic(text_bytes(text_col)) < 0.5)
