@@ -44,11 +44,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ASCII_LOWER, materialise, slices, text_bytes
+from .common import materialise, release, text_bytes, text_slices, word_hashes
 from .packed import cuts, pack, totals, unpack
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-END = b"\n"            # no word holds a newline
+END = np.uint64(0)     # stands for the end token beside the words' hashes
 BLOCK = ("block long, n_tokens long, doc_ids binary, has_id binary, train binary, "
          "ends binary, vocab binary, words binary")
 ASK = "p int, block long, u_keys binary, u_counts binary, g_keys binary, g_counts binary"
@@ -61,7 +61,7 @@ class Params:
     order: int = 2
     min_count: int = 2       # n-grams of order 2 and up below this are not listed
     discount: float = 0.75
-    block_tokens: int = 2_000_000
+    block_tokens: int = 600_000
     range_tokens: int = 2_000_000   # training and scoring tokens per hash range
 
 
@@ -72,7 +72,6 @@ def encode(docs: DataFrame, trainable: Column, p: Params, id_col: str, text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from xxhash import xxh64_intdigest as h
         task, seq = TaskContext.get().partitionId(), 0
         parts, sizes, ids, train, held = [], [], [], [], 0
 
@@ -90,21 +89,14 @@ def encode(docs: DataFrame, trainable: Column, p: Params, id_col: str, text_col:
                                   *((c, pa.binary()) for c in ("doc_ids", "has_id", "train",
                                                                "ends", "vocab", "words"))]))
 
-        end = h(END)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in slices(texts):
-                split = [x.translate(ASCII_LOWER).split() for x in texts[i:j]]
-                n = [len(w) + 1 for w in split]
-                flat = []
-                for w in split:
-                    flat += map(h, w)
-                    flat.append(end)
-                parts.append(np.array(flat, np.uint64))
-                sizes += n
-                ids += b.column(0).slice(i, j - i).to_pylist()
-                train += b.column(2).slice(i, j - i).to_pylist()
-                held += sum(n)
+            for i, texts in text_slices(b.column(1)):
+                h, n = word_hashes(texts)
+                parts.append(np.insert(h, np.cumsum(n), END))
+                sizes += (n + 1).tolist()
+                ids += b.column(0).slice(i, len(texts)).to_pylist()
+                train += b.column(2).slice(i, len(texts)).to_pylist()
+                held += len(parts[-1])
                 if held >= limit:
                     yield flush()
                     parts, sizes, ids, train, held, seq = [], [], [], [], 0, seq + 1
@@ -117,52 +109,49 @@ def encode(docs: DataFrame, trainable: Column, p: Params, id_col: str, text_col:
 
 
 class Block:
-    """A block's word hashes and the keys of the n-grams that end at each place."""
+    """A block's word hashes and its n-grams: ``keys`` of those of order 2, 3, ...
+    (one order after another) and the places ``where`` they end."""
 
     def __init__(self, row, order: int):
         self.vocab = np.frombuffer(row.vocab, "<u8")
         self.words = np.frombuffer(row.words, "<u4")
         self.ends = np.frombuffer(row.ends, "<i8")
-        starts = np.concatenate([[0], self.ends[:-1]])
-        sizes = self.ends - starts
-        self.starts = starts
+        self.starts = np.concatenate([[0], self.ends[:-1]])
+        sizes = self.ends - self.starts
         self.train = np.repeat(np.frombuffer(row.train, np.uint8), sizes).astype(bool)
-        first = self.vocab[self.words]
-        # keys[k - 1][i]: the k-gram ending at place where[k - 1][i]
-        self.keys, self.where = [first], [np.arange(len(first))]
-        self.inside = np.arange(len(first)) - np.repeat(starts, sizes)
-        full = first
+        word = self.vocab[self.words]
+        inside = np.arange(len(word)) - np.repeat(self.starts, sizes)
+        self.where, keys, full = [], [np.zeros(0, np.uint64)], word
         for k in range(2, order + 1):
-            longer = np.zeros_like(first)
-            longer[1:] = (full[:-1] * _MIX[0] + np.uint64(k)) ^ (first[1:] * _MIX[1])
+            longer = np.zeros_like(word)
+            longer[1:] = (full[:-1] * _MIX[0] + np.uint64(k)) ^ (word[1:] * _MIX[1])
             longer *= _MIX[0]
             longer ^= longer >> np.uint64(29)
             full = longer
-            at = np.flatnonzero(self.inside >= k - 1)
-            self.keys.append(full[at])
-            self.where.append(at)
+            self.where.append(np.flatnonzero(inside >= k - 1))
+            keys.append(full[self.where[-1]])
+        self.keys = np.concatenate(keys)
+        self.cut = np.cumsum([0, *map(len, self.where)])
 
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.words, self.train, minlength=len(self.vocab)).astype(np.uint64)
 
-    def grams(self, counts: bool = False):
-        """Sorted distinct keys of all n-grams of order 2 and up, and if asked
-        their training counts."""
-        keys = np.concatenate(self.keys[1:]) if len(self.keys) > 1 else np.zeros(0, np.uint64)
-        if not counts:
-            return np.unique(keys)
-        uniq, inv = np.unique(keys, return_inverse=True)
-        seen = np.concatenate([self.train[w] for w in self.where[1:]]) if len(keys) else np.zeros(0)
-        return uniq, np.bincount(inv, seen, minlength=len(uniq)).astype(np.uint64)
+    def gram_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct keys and their training counts."""
+        uniq = np.unique(self.keys)
+        seen = np.sort(self.keys[np.concatenate([np.zeros(0, bool), *(self.train[w] for w in self.where)])])
+        count = np.searchsorted(seen, uniq, side="right") - np.searchsorted(seen, uniq)
+        return uniq, count.astype(np.uint64)
 
 
 def _ask(blocks: DataFrame, p: Params, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pandas().itertuples():
+                release()
                 block = Block(row, p.order)
                 u, uc = block.vocab, block.word_counts()
-                g, gc = block.grams(counts=True)
+                g, gc = block.gram_counts()
                 cu, cg = cuts(u, n), cuts(g, n)
                 some = [i for i in range(n) if cu[i] < cu[i + 1] or cg[i] < cg[i + 1]]
                 yield pa.RecordBatch.from_pydict(
@@ -200,56 +189,62 @@ def _answer(ask: DataFrame, p: Params) -> DataFrame:
 
 
 class _Model:
-    """What a block was answered: totals of its words and its listed n-grams."""
-
-    def __init__(self, block: Block, answers: pd.DataFrame, n: int):
-        first = answers[answers["kind"] == 0].sort_values("p")
-        self.word_total = (np.concatenate([unpack(x) for x in first["a"]]) if len(first)
-                           else np.zeros(0, np.uint64))
-        grams = block.grams()
-        cut = cuts(grams, n)
-        at = [unpack(x, True).astype(np.int64) + cut[r] for r, x in zip(first["p"], first["b"])]
-        total = np.concatenate([unpack(x) for x in first["c"]]) if len(first) else np.zeros(0, np.uint64)
-        self.listed = grams[np.concatenate(at)] if at else grams[:0]
+    """What a block was answered: totals of its words and its listed n-grams.
+
+    States are numbered: a word's number, or the number of words plus that of
+    a listed n-gram. ``gram[i]`` is the listed n-gram (or -1) of ``block.keys[i]``.
+    """
+
+    def __init__(self, block: Block, answers: pd.DataFrame, n: int, p: Params, first: bool = False):
+        got = answers[answers["kind"] == 0].sort_values("p")
+        none = np.zeros(0, np.uint64)
+        self.word_total = np.concatenate([none, *(unpack(x) for x in got["a"])])
+        uniq, *more = np.unique(block.keys, return_inverse=True, **({"return_index": True} if first else {}))
+        cut = cuts(uniq, n)
+        at = np.concatenate([none, *(unpack(x, True) + np.uint64(cut[r]) for r, x in zip(got["p"], got["b"]))])
+        total = np.concatenate([none, *(unpack(x) for x in got["c"])])
+        self.listed = uniq[at.astype(np.int64)]
         self.own, self.total = (total & np.uint64(1)).astype(bool), total >> np.uint64(1)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Index among the listed n-grams, -1 if not listed."""
-        if not len(self.listed):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.listed, keys), len(self.listed) - 1)
-        return np.where(self.listed[at] == keys, at, -1)
-
-    def contexts(self, block: Block, p: Params) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys and counts of all states that n-grams may extend."""
-        words = self.word_total >= p.min_count
-        shorter = np.unique(np.concatenate([self.find(k) for k in block.keys[1:-1]])) if p.order > 2 else []
-        shorter = np.asarray(shorter, np.int64)
+        self.first = more[0][at.astype(np.int64)] if first else None
+        slot = np.full(len(uniq), -1, np.int32)
+        slot[at.astype(np.int64)] = np.arange(len(at))
+        self.gram = slot[more[-1]]
+        # States that n-grams extend, in the order of their keys.
+        v = len(block.vocab)
+        words = np.flatnonzero(self.word_total >= p.min_count)
+        shorter = np.unique(self.gram[:block.cut[p.order - 2]]) if p.order > 2 else np.zeros(0, np.int64)
         shorter = shorter[shorter >= 0]
         keys = np.concatenate([block.vocab[words], self.listed[shorter]])
         order = np.argsort(keys, kind="stable")
-        return keys[order], np.concatenate([self.word_total[words], self.total[shorter]])[order]
+        self.states, self.state_keys = np.concatenate([words, v + shorter])[order], keys[order]
+        self.count = np.concatenate([self.word_total, self.total]).astype(np.float64)
+
+    def context(self, block: Block, k: int) -> np.ndarray:
+        """The state before each n-gram of order k; -1 where it is not listed."""
+        before = block.where[k - 2] - 1
+        if k == 2:
+            return block.words[before].astype(np.int64)
+        held = np.full(len(block.words), -1, np.int64)
+        held[block.where[k - 3]] = self.gram[block.cut[k - 3]:block.cut[k - 2]]
+        held = held[before]
+        return np.where(held < 0, -1, held + len(block.vocab))
 
 
 def _context_sums(p: Params, n: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        release()
         if not len(left):
             return pd.DataFrame({c: [] for c in ("p", "block", "keys", "kept", "types")})
         row = next(left.itertuples())
         block = Block(row, p.order)
-        model = _Model(block, right, n)
-        keys, _ = model.contexts(block, p)
-        kept, types = np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.uint64)
+        model = _Model(block, right, n, p, first=True)
+        kept, types = np.zeros(len(model.count)), np.zeros(len(model.count))
         for k in range(2, p.order + 1):
-            uniq, place = np.unique(block.keys[k - 1], return_index=True)
-            at = model.find(uniq)
-            use = at >= 0
-            use[use] = model.own[at[use]]
-            before = block.where[k - 1][place[use]] - 1        # where the context ends
-            ctx = block.keys[k - 2][np.searchsorted(block.where[k - 2], before)]
-            into = np.searchsorted(keys, ctx)
-            np.add.at(kept, into, model.total[at[use]])
-            np.add.at(types, into, np.uint64(1))
+            mine = model.own & (model.first >= block.cut[k - 2]) & (model.first < block.cut[k - 1])
+            ctx = model.context(block, k)[model.first[mine] - block.cut[k - 2]]
+            kept += np.bincount(ctx, model.total[mine].astype(np.float64), minlength=len(kept))
+            types += np.bincount(ctx, minlength=len(types))
+        keys, kept, types = model.state_keys, kept[model.states], types[model.states]
         cut = cuts(keys, n)
         some = [i for i in range(n) if cut[i] < cut[i + 1]]
         return pd.DataFrame({"p": some, "block": row.block,
@@ -280,29 +275,25 @@ SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score dou
 
 def _score(p: Params, n: int, train_tokens: int, words: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        release()
         if not len(left):
             return pd.DataFrame({c.split()[0]: [] for c in SCORES.split(", ")})
         row = next(left.itertuples())
         block = Block(row, p.order)
-        model = _Model(block, right, n)
-        keys, count = model.contexts(block, p)
+        model = _Model(block, right, n, p)
         sums = right[right["kind"] == 1].sort_values("p")
-        total = lambda c: (np.concatenate([unpack(x) for x in sums[c]]) if len(sums)
-                           else np.zeros(0)).astype(np.float64)
-        count = count.astype(np.float64)
-        failure = 1 - (total("a") - p.discount * total("b")) / np.maximum(count, 1)
-        denominator = train_tokens + 0.5 * (words + 1)
-        prob = ((model.word_total + 0.5) / denominator)[block.words]
+        total = lambda c: np.concatenate([np.zeros(0), *(unpack(x) for x in sums[c])])
+        failure = np.full(len(model.count) + 1, np.nan)         # the last place: no state
+        failure[model.states] = 1 - (total("a") - p.discount * total("b")) / model.count[model.states]
+        prob = ((model.word_total + 0.5) / (train_tokens + 0.5 * (words + 1)))[block.words]
         base = np.log10(prob)
+        arc = np.concatenate([model.total - p.discount, [0.0]])  # the last place: not listed
         for k in range(2, p.order + 1):
-            place = block.where[k - 1]
-            ctx = block.keys[k - 2][np.searchsorted(block.where[k - 2], place - 1)]
-            state = np.minimum(np.searchsorted(keys, ctx), max(len(keys) - 1, 0))
-            known = keys[state] == ctx if len(keys) else np.zeros(len(ctx), bool)
-            place, state = place[known], state[known]
-            at = model.find(block.keys[k - 1][known])
-            arc = np.where(at >= 0, (model.total[at] if len(model.total) else 0) - p.discount, 0.0) / count[state]
-            prob[place] = arc + failure[state] * prob[place]
+            state = model.context(block, k)
+            known = ~np.isnan(failure[state])
+            state, place = state[known], block.where[k - 2][known]
+            gram = model.gram[block.cut[k - 2]:block.cut[k - 1]][known]
+            prob[place] = arc[gram] / model.count[state] + failure[state] * prob[place]
         has = np.frombuffer(row.has_id, np.uint8).astype(bool)
         ids = np.frombuffer(row.doc_ids, "<i8")
         return pd.DataFrame({
