@@ -49,13 +49,13 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, has_id: np.ndarray, ends: np.nda
     bits = np.zeros(blocks * BLOCK, np.uint8)
     x = ids
     for level in range(planes - 1, -1, -1):
-        one = ((x >> level) & 1).astype(bool)
+        one = (x & x.dtype.type(1 << level)) != 0
         bits[:n] = one
         packed = np.packbits(bits, bitorder="little")
         ones = np.bitwise_count(packed.view("<u8")).reshape(blocks, -1).sum(axis=1, dtype=np.uint32)
         before = np.cumsum(ones, dtype=np.uint32) - ones
-        zero = x[~one]
-        x = np.concatenate([zero, x[one]])
+        zero = np.compress(~one, x)                # index lists beat masks here by far
+        x = np.concatenate([zero, np.compress(one, x)])
         out += [struct.pack("<Q", len(zero)), packed.tobytes(), before.astype("<u4").tobytes()]
     return b"".join(out)
 
@@ -149,8 +149,8 @@ class WaveletMatrix:
         for level in range(self.planes - 1, -1, -1):
             one = self._plane(level)
             up = np.empty_like(x)
-            up[~one] = x[:self.zeros[level]]
-            up[one] = x[self.zeros[level]:] | x.dtype.type(1 << (self.planes - 1 - level))
+            up[np.flatnonzero(~one)] = x[:self.zeros[level]]
+            up[np.flatnonzero(one)] = x[self.zeros[level]:] | x.dtype.type(1 << (self.planes - 1 - level))
             x = up
         return x
 
