@@ -7,10 +7,10 @@ All steps are DataFrame functions.
   one level are passages. A line "On ... wrote:" just before a quote goes with it.
 * Passages are normalised (lower case, white space collapsed) and hashed, as
   are every message's own text, its paragraphs and its lines. A passage links to
-  the last earlier message of its conversation that has the hash, else to
-  the first earlier one of another conversation ("earlier" by conversation
-  and turn, so links never form a circle); a passage without a whole match is
-  linked by its lines.
+  the last earlier message of its conversation that has the hash, else to the
+  first one, by conversation and turn, of any other conversation (a conversation
+  id is no time; reply chains stay inside a conversation, so they never form a
+  circle); a passage without a whole match is linked by its lines.
 * A message replies to the message its lowest-level linked passage names. Roots
   of reply chains are found by pointer doubling; inside a conversation messages
   are ordered by (turn of the root, turn), so replies follow what they answer.
@@ -114,13 +114,18 @@ def _found(asked: DataFrame, units: DataFrame) -> DataFrame:
     near = (both.withColumn("in", F.max("o").over(before("conv", "hash", "b", "turn"))).where("o is null")
             .join(tops, ["conv", "hash", "b"])
             .select("conv", "hash", "turn", F.coalesce("in", "carry").alias("near")))
-    first = units.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"))
-    earlier = F.col("first.conv") < F.col("conv")
-    return (asked.join(near, ["conv", "hash", "turn"], "left").join(first, "hash", "left")
-            .withColumn("same", F.col("near").isNotNull().cast("int"))
-            .withColumn("o_conv", F.when(F.col("same") == 1, F.col("conv")).when(earlier, F.col("first.conv")))
-            .withColumn("o_turn", F.when(F.col("same") == 1, F.col("near")).when(earlier, F.col("first.turn")))
-            .where("o_turn is not null").drop("near", "first"))
+    # The first turn in each of a hash's two smallest conversations: one of them is another one.
+    place = F.row_number().over(Window.partitionBy("hash").orderBy("conv"))
+    firsts = (units.groupBy("hash", "conv").agg(F.min("turn").alias("turn")).withColumn("k", place).where("k <= 2")
+              .groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"),
+                                   F.max(F.struct("conv", "turn")).alias("second")))
+    other = F.when(F.col("first.conv") != F.col("conv"), F.col("first")).when(
+        F.col("second.conv") != F.col("conv"), F.col("second"))
+    return (asked.join(near, ["conv", "hash", "turn"], "left").join(firsts, "hash", "left")
+            .withColumn("other", other).withColumn("same", F.col("near").isNotNull().cast("int"))
+            .withColumn("o_conv", F.when(F.col("same") == 1, F.col("conv")).otherwise(F.col("other.conv")))
+            .withColumn("o_turn", F.when(F.col("same") == 1, F.col("near")).otherwise(F.col("other.turn")))
+            .where("o_turn is not null").drop("near", "first", "second", "other"))
 
 
 def link_passages(messages: DataFrame, parts: DataFrame, own: DataFrame) -> DataFrame:

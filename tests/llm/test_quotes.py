@@ -76,3 +76,29 @@ def test_plain_conversations_keep_texts_and_turns(spark):
     got = run(spark, rows)
     for c, t, _, text in rows:
         assert got[(c, t)]["text"] == text and got[(c, t)]["position"] == t
+
+
+def test_original_in_a_conversation_with_a_larger_id(spark):
+    rows = [
+        (1, 0, "user", "> only said later\na"),
+        (1, 1, "user", "> said in many\nb"),
+        (5, 3, "user", "> said in many\nc"),
+        (5, 4, "user", "said in many"),               # its own conversation, but not earlier
+        (7, 2, "user", "said in many"),
+        (8, 0, "user", "said in many"),
+        (9, 6, "user", "only said later"),
+        (9, 7, "user", "only said later"),
+        (9, 8, "user", "> said by me\n> said in many"),
+    ]
+    got = run(spark, rows)
+    parent = {k: (r["reply_conv"], r["reply_turn"]) for k, r in got.items() if r["linked"]}
+    assert parent == {(1, 0): (9, 6), (1, 1): (5, 4), (5, 3): (7, 2), (9, 8): (5, 4)}
+    assert all(r["depth"] == 0 and r["root_turn"] == k[1] for k, r in got.items())
+
+
+def test_quotes_across_two_conversations_in_both_directions(spark):
+    rows = [(1, 0, "user", "one"), (1, 1, "user", "> two\nagain"), (2, 0, "user", "two"), (2, 1, "user", "> again\nmore")]
+    rows.append((1, 2, "user", "> more\nend"))
+    got = run(spark, rows)
+    assert [(got[k]["reply_conv"], got[k]["reply_turn"]) for k in ((1, 1), (2, 1), (1, 2))] == [(2, 0), (1, 1), (2, 1)]
+    assert [got[(1, t)]["position"] for t in range(3)] == [0, 1, 2]
