@@ -10,7 +10,8 @@ All steps are DataFrame functions.
   the last earlier message of its conversation that has the hash, else to the
   first one, by conversation and turn, of any other conversation (a conversation
   id is no time; reply chains stay inside a conversation, so they never form a
-  circle); a passage without a whole match is linked by its lines.
+  circle); a passage without a whole match is linked by its paragraphs, else by
+  its lines.
 * A message replies to the message its lowest-level linked passage names. Roots
   of reply chains are found by pointer doubling; inside a conversation messages
   are ordered by (turn of the root, turn), so replies follow what they answer.
@@ -32,6 +33,7 @@ from .common import materialise
 TURNS = 1024          # turns of a bucket
 MARK = r"(?m)^[ \t>]*>"
 ATTRIBUTION = r"^\s*On [^\n]* wrote:\s*$"
+PARAGRAPH = r"(?>\r\n|\r|\n)[ \t]*(?>\r\n|\r|\n)"      # blank lines, of any line end
 MAX_ROUNDS = 64       # doubling covers 2**64 steps
 
 
@@ -84,20 +86,30 @@ def _passages(parts: DataFrame) -> DataFrame:
             .agg(_joined("pos", "body").alias("passage")))
 
 
-def _units(text: Column, whole_too: bool = True) -> Column:
+def _pieces(text: Column) -> list[Column]:
+    """A text itself, its paragraphs and its lines, as arrays of normalised pieces."""
+    cut = [F.array(text), F.split(text, PARAGRAPH), F.split(text, r"\r\n|\r|\n")]
+    return [F.filter(F.transform(c, normalised), lambda x: x != "") for c in cut]
+
+
+def _units(text: Column) -> Column:
     """Distinct normalised pieces of a text: itself, its paragraphs, its lines."""
-    own = [F.array(text), F.split(text, r"\n[ \t]*\n")] if whole_too else []
-    pieces = F.concat(*own, F.split(text, r"\r\n|\r|\n"))
-    return F.array_distinct(F.filter(F.transform(pieces, normalised), lambda x: x != ""))
+    return F.array_distinct(F.concat(*_pieces(text)))
 
 
 def _asked(passages: DataFrame) -> DataFrame:
-    """``(uid, run, level, conv, turn, whole, hash)``: hashes to look up."""
+    """``(uid, run, level, conv, turn, whole, hash)``: hashes to look up; ``whole``
+    is 2 for the passage, 1 for its paragraphs, 0 for its lines."""
     keep = ["uid", "run", "level", "conv", "turn"]
-    whole = passages.select(*keep, F.lit(1).alias("whole"), F.array(normalised(F.col("passage"))).alias("u"))
-    line = passages.select(*keep, F.lit(0).alias("whole"), _units(F.col("passage"), False).alias("u"))
-    return (whole.unionByName(line).withColumn("u", F.explode("u")).where("u <> ''")
-            .withColumn("hash", F.md5("u")).drop("u"))
+    whole, paragraphs, lines = _pieces(F.col("passage"))
+    ranked = [(2, whole), (1, F.array_except(paragraphs, whole)),
+              (0, F.array_except(lines, F.concat(whole, paragraphs)))]
+
+    def hashed(rank: int, u: Column) -> Column:
+        return F.transform(u, lambda x: F.struct(F.lit(rank).alias("whole"), F.md5(x).alias("hash")))
+
+    units = F.concat(*(hashed(n, u) for n, u in ranked))
+    return passages.select(*keep, F.inline(units))
 
 
 def _found(asked: DataFrame, units: DataFrame) -> DataFrame:

@@ -102,3 +102,29 @@ def test_quotes_across_two_conversations_in_both_directions(spark):
     got = run(spark, rows)
     assert [(got[k]["reply_conv"], got[k]["reply_turn"]) for k in ((1, 1), (2, 1), (1, 2))] == [(2, 0), (1, 1), (2, 1)]
     assert [got[(1, t)]["position"] for t in range(3)] == [0, 1, 2]
+
+
+def test_rewrapped_quote_of_some_paragraphs(spark):
+    one, two, three = "alpha beta gamma delta", "epsilon zeta\neta theta", "iota kappa"
+    rows = [
+        (1, 0, "user", f"{one}\n\n{two}\n \t\n{three}"),
+        (1, 1, "user", "> alpha beta\n> gamma delta\n>\n> epsilon\n> zeta eta theta\nyes"),
+        (1, 2, "user", "> kappa\n>\n> iota\n> kappa lambda\nno"),                     # no paragraph or line
+        (2, 0, "user", "omega one two\r\n\r\nomega three\r\nfour\r\n\r\nrest"),
+        (2, 1, "user", "short"),
+        (2, 2, "user", "> omega three four\n>\n> short\n> of\n> rest words\nyes"),      # paragraph before line
+        (2, 3, "user", "alpha\nbeta"),
+        (2, 4, "user", "> alpha beta\n> gamma delta\n> \n> alpha\n> beta\n> chi\nwell"),
+    ]
+    got = run(spark, rows)
+    parent = {k: (r["reply_conv"], r["reply_turn"]) for k, r in got.items()}
+    assert parent == {(1, 0): (None, None), (1, 1): (1, 0), (1, 2): (None, None), (2, 0): (None, None),
+                      (2, 1): (None, None), (2, 2): (2, 0), (2, 3): (None, None), (2, 4): (1, 0)}
+    assert got[(1, 1)]["root_turn"] == 0 and got[(1, 1)]["depth"] == 1 and got[(1, 1)]["text"] == "yes"
+    assert [got[(1, t)]["position"] for t in range(3)] == [0, 1, 2]
+
+
+def test_whole_match_goes_before_paragraphs(spark):
+    rows = [(1, 0, "user", "one two\n\nthree four"), (1, 1, "user", "one two"),
+            (1, 2, "user", "> one two\n>\n> three\n> four\nyes")]
+    assert run(spark, rows)[(1, 2)]["reply_turn"] == 0
