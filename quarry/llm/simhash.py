@@ -296,21 +296,32 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str =
 
 def keep_one(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """One row of each component, all columns kept: the row of the smallest id.
-
-    Rows without an id stay unless their component has one with. A repeated id
-    keeps one of its rows, the first by text.
+    """One row of each component, all columns kept: the first by id (null last),
+    then by text. Components are those of all rows, whatever their ids: rows
+    without an id count, and a repeated id does not join its rows' texts.
     """
-    found = materialise(near_duplicates(docs, shingle, distance, id_col, text_col), "components")
-    ids = (found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-           .agg(F.count(F.lit(1)).alias("_n"), F.min("component_id").alias("_c"))
-           .where("_id = _c"))
-    once = docs.join(ids.where("_n = 1"), docs[id_col] == F.col("_id"), "left_semi")
-    again = docs.join(ids.where("_n > 1"), docs[id_col] == F.col("_id"), "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    again = again.withColumn("_k", F.row_number().over(first)).where("_k = 1").drop("_k")
-    bare = docs.where(F.col(id_col).isNull())
-    return once.unionByName(again).unionByName(bare)
+    prints = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    classes = materialise(prints.groupBy("fp").agg(F.min(id_col).cast("long").alias("_min"))
+                          .withColumn("rep", F.col("fp")), "classes")
+    found = components(links(classes.select("fp", "rep"), distance))
+    labels = materialise(classes.join(found, classes["rep"] == found["node"], "left")
+                         .select("fp", "_min", F.coalesce("component", "rep").alias("_c")), "components")
+    best = labels.groupBy("_c").agg(F.min("_min").alias("_id"))
+    ids = (prints.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+           .agg(F.count(F.lit(1)).alias("_n")))
+    once = docs.join(ids.where("_n = 1").join(best, "_id"), docs[id_col] == F.col("_id"), "left_semi")
+    # Null and repeated ids do not name a row: these rows are told apart by fingerprint and text.
+    again = (docs.join(ids.where("_n > 1"), docs[id_col] == F.col("_id"), "left_semi")
+             .unionByName(docs.where(F.col(id_col).isNull())))
+    packed = again.select(F.struct(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns))).alias("_row"),
+                          F.col(text_col).alias("_text"))
+    row = fingerprints(packed, shingle, "_row", "_text").select(
+        "fp", *(F.col(f"_row._{i}").alias(c) for i, c in enumerate(docs.columns)))
+    owner = labels.join(best, "_c").select(F.col("fp").alias("_fp"), "_c", "_id")
+    first = Window.partitionBy("_c").orderBy(F.col(text_col).asc_nulls_first())
+    again = (row.join(owner, (F.col("fp") == F.col("_fp")) & F.col(id_col).eqNullSafe(F.col("_id")))
+             .withColumn("_k", F.row_number().over(first)).where("_k = 1").select(*(f"`{c}`" for c in docs.columns)))
+    return once.unionByName(again)
 
 
 def hex_digits(fp: str = "fp"):

@@ -114,3 +114,16 @@ def test_long_chain_settles(spark):
     found = {r["node"]: r["component"] for r in components(edges).collect()}
     assert found == {i: 0 for i in range(1, n + 1)}
     assert components(edges.where("a < 0")).count() == 0
+
+
+def test_keep_one_with_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(8)
+    a, b, c, d, e, f = (" ".join(f"v{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(6))
+    rows = [(3, a), (5, a), (5, b), (8, b),            # 5 stands for b, 3 for a
+            (9, c), (None, c), (None, c),              # copies without id of a kept document
+            (None, d), (None, d),                      # copies of each other
+            (12, e), (12, f), (12, f), (13, None), (None, "")]
+    got = simhash.keep_one(docs(spark, [(i, x, "en", "s", 1, 1, 2, "v", 3, 0.5) for i, x in rows]), 4, 4).collect()
+    assert sorted((r["doc_id"] or 99, r["text"] or "") for r in got) == sorted(
+        [(3, a), (5, b), (9, c), (99, d), (12, e), (12, f), (13, "")])
+    assert {(r["lang"], r["rep"], r["score"]) for r in got} == {("en", 3, 0.5)}
