@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import lengths, lm, mixing, packing, quotes, search, simhash, tokenfile, toxicity, vptree
+from . import (lengths, lm, maintext, mixing, packing, prefixtrie, quotes, repair, search, simhash, tokenfile,
+               toxicity, vptree)
 from .common import crc_mod5, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +146,65 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB has no crc32: bit by bit over the ASCII characters of ``text``."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({text}, ''),
+      lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+
+OP11_SQL = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations
+           WHERE conv_id IS NOT NULL),
+k AS (SELECT c, turn, md5(strlen(role) || ':' || role || text) AS k, strlen(text)::BIGINT AS nb FROM t),
+o AS (SELECT c, k, nb, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) - 1 AS pos FROM k),
+h AS (SELECT c, {crc32_sql('c::VARCHAR')} % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+r AS (SELECT h.c, 0 AS own, pos, k, nb FROM h JOIN o ON o.c = h.c - h.c % 5 AND pos < h
+      UNION ALL SELECT h.c, 1, pos, k, nb FROM h JOIN o ON o.c = h.c AND pos >= h),
+d AS (SELECT c, k, nb, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d FROM r),
+p AS (SELECT c, d, nb, md5(string_agg(k, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS node FROM d
+      UNION ALL SELECT c, 0, 0, '' FROM h),
+l AS (SELECT c, max(d) AS len FROM p GROUP BY c),
+n AS (SELECT node, d, any_value(nb) AS nb, min(c) AS conv, count(*) AS n,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = len), '')) AS ends
+      FROM p JOIN l USING (c) GROUP BY node, d),
+f AS (SELECT n.*, up.node AS up FROM n LEFT JOIN p up ON up.c = n.conv AND up.d = n.d - 1),
+c AS (SELECT up AS node, count(*) AS kids FROM f WHERE up IS NOT NULL GROUP BY up),
+g AS (SELECT f.*, coalesce(kids, 0) AS kids FROM f LEFT JOIN c USING (node)),
+s AS (SELECT p.node, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * g.nb) AS saved
+      FROM g JOIN p ON p.c = g.conv AND p.d <= g.d GROUP BY p.node)
+SELECT g.conv AS conv_id, g.d::BIGINT AS depth, up.conv AS parent_conv_id, g.n::BIGINT AS n_convs,
+       g.kids::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, g.ends AS ends_sha256
+FROM g JOIN s USING (node) LEFT JOIN n up ON up.node = g.up
+"""
+
+
+@register("op11_conversation_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+OP12_SQL = """
+WITH b AS (SELECT page_id, url, list_transform(regexp_split_to_array(
+             regexp_extract(html, '<article>(.*)</article>', 1, 's'), '</?(p|h1|br)>'),
+             lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+               '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[ \\t\\n\\r\\f]+', ' ', 'g'))) AS blocks FROM pages),
+t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)) AS text FROM b)
+SELECT page_id, url, coalesce(text, '') AS text, coalesce(length(text), 0)::BIGINT AS n_chars FROM t
+"""
+
+
+@register("op12_html_extraction", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL reads the given pages' only article by its tags."""
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
