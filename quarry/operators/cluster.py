@@ -4,10 +4,10 @@ Points are ``(id, features array<double>)``. Centroids are K short vectors
 (K is a job parameter), never joined to the points:
 * a single assignment step (the SQL-checked keys) puts them into the
   distance expression as literals: a map-only projection in codegen;
-* the iterative loop labels points inside Arrow batches with NumPy
-  (``mapInPandas``, centroids in the closure, so no per-round code
-  generation) and emits K partial sums per batch; a K-row aggregate combines
-  them. Only K rows per round reach the driver; points stay persisted.
+* the iterative loop labels blocks of points with NumPy (centroids in the
+  closure, so no per-round code generation), skips the points whose distance
+  bounds settle their label, and adds up K sums per partition. A few rows per
+  round reach the driver; blocks and bounds are tables in the shared folder.
 
 Semantics:
 * ties go to the lowest centroid index (argmin): ``least(struct(d2, k))``;
@@ -24,10 +24,12 @@ Semantics:
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .dense import matrix, stored, total
 from .sampling import md5_key
 
 
@@ -67,49 +69,97 @@ def cluster_means(points: DataFrame, n_dims: int) -> DataFrame:
 
 def _labels_np(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """argmin of squared distances; ties to the lowest index."""
+    return _squared(x, c).argmin(axis=1)
+
+
+def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     d2 = np.zeros((x.shape[0], c.shape[0]))
     for j in range(c.shape[1]):          # per dimension: bounded memory
         diff = x[:, j:j + 1] - c[None, :, j]
         d2 += diff * diff
-    return d2.argmin(axis=1)
-
-
-def _update(points: DataFrame, centroids: list[list[float]],
-            last: list[list[float]] | None = None) -> tuple[list[list[float]], int]:
-    """One Lloyd update: the new centroids, and how many points' labels differ
-    from those under ``last``. Each Arrow batch labels its points with NumPy
-    and emits K partial sums; a K-row aggregate combines them. The centroids
-    ride in the closure, so no per-iteration code generation is needed."""
-    c = np.asarray(centroids, dtype=float)
-    old = None if last is None else np.asarray(last, dtype=float)
-    k, n = c.shape
-    schema = "cluster int, cnt long, moved long, " + ", ".join(f"s{i} double" for i in range(n))
-
-    def partial(batches):
-        import pandas as pd
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf["features"].to_numpy()).astype(float)
-            lab = _labels_np(x, c)
-            moved = np.ones(len(x), bool) if old is None else lab != _labels_np(x, old)
-            out = {"cluster": np.arange(k, dtype="int32"),
-                   "cnt": np.bincount(lab, minlength=k).astype("int64"),
-                   "moved": np.bincount(lab, moved, minlength=k).astype("int64")}
-            for i in range(n):
-                out[f"s{i}"] = np.bincount(lab, x[:, i], minlength=k)
-            yield pd.DataFrame(out)
-
-    agg = (points.select("features").mapInPandas(partial, schema)
-           .groupBy("cluster").agg(F.sum("cnt").alias("cnt"), F.sum("moved").alias("moved"),
-                                   *[F.sum(f"s{i}").alias(f"s{i}") for i in range(n)]))
-    new = [list(map(float, r)) for r in c]
-    moved = 0
-    for r in agg.collect():
-        moved += r["moved"]
-        if r["cnt"] > 0:
-            new[r["cluster"]] = [r[f"s{i}"] / r["cnt"] for i in range(n)]
-    return new, moved
+    return d2
+
+
+# ------------------------------------------------------------- Lloyd's rounds
+BLOCK_BYTES = 1 << 13       # of points in one row: an Arrow batch of 10,000 rows stays small
+SLACK = 1e-9                # distances closer than this are compared in full
+
+
+def packed(points: DataFrame, n_dims: int) -> DataFrame:
+    """``(x binary)``: points in blocks, written once for all rounds."""
+    step = max(1, BLOCK_BYTES // (8 * n_dims))
+
+    def pack(batches):
+        for b in batches:
+            x = matrix(b, "features").astype("<f8")
+            for i in range(0, len(x), 10_000 * step):
+                rows = [x[j:j + step].tobytes() for j in range(i, min(len(x), i + 10_000 * step), step)]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["x"])
+
+    doubles = points.select(F.transform("features", lambda v: v.cast("double")).alias("features"))
+    return stored(doubles.mapInArrow(pack, "x binary"), "kmeans-blocks")
+
+
+def _joined(batch, col: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(col).to_pylist()), kind)
+
+
+def _bounded(blocks: DataFrame, centroids: np.ndarray) -> DataFrame:
+    """Blocks with each point's label under ``centroids`` and its margin: how much
+    farther the second nearest centroid is than the nearest."""
+    n = centroids.shape[1]
+
+    def bound(batches):
+        for b in batches:
+            xs, labels, margins = b.column("x").to_pylist(), [], []
+            for raw in xs:
+                d = np.sqrt(_squared(np.frombuffer(raw).reshape(-1, n), centroids))
+                lab = d.argmin(axis=1)
+                own = d[np.arange(len(d)), lab]
+                d[np.arange(len(d)), lab] = np.inf
+                labels.append(lab.astype("<i4").tobytes())
+                margins.append((d.min(axis=1) - own).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("x"), pa.array(labels, pa.binary()), pa.array(margins, pa.binary())],
+                                             names=["x", "label", "margin"])
+
+    path = scratch_path(blocks.sparkSession, "kmeans-bounds")
+    out = blocks.select("x").mapInArrow(bound, "x binary, label binary, margin binary")
+    out.write.parquet(path)
+    return blocks.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def _update(blocks: DataFrame, centroids: np.ndarray, last: np.ndarray | None, base: np.ndarray) -> tuple[np.ndarray, int]:
+    """One Lloyd update: the new centroids, and how many labels differ from those
+    under ``last``. ``blocks`` hold labels and margins under ``base``: a point whose
+    margin exceeds the way that its centroid and the farthest-moved other one have
+    gone since then keeps its label, so only the other points are compared with all
+    centroids, under both ``centroids`` and ``last``. Each partition sends K sums."""
+    k, n = centroids.shape
+
+    def reach(to):
+        gone = np.sqrt(((to - base) ** 2).sum(axis=1))
+        others = np.array([np.delete(gone, i).max(initial=0.0) for i in range(k)])
+        return gone + others
+
+    far = reach(centroids) if last is None else np.maximum(reach(centroids), reach(last))
+
+    def sums(b):
+        x = _joined(b, "x", "<f8").reshape(-1, n)
+        lab, margin = _joined(b, "label", "<i4").astype(np.int64), _joined(b, "margin", "<f8")
+        near = np.flatnonzero(margin <= far[lab] + SLACK)
+        moved = len(x) if last is None else 0
+        for i in range(0, len(near), 20_000):
+            some = near[i:i + 20_000]
+            new = _labels_np(x[some], centroids)
+            if last is not None:
+                moved += int((new != _labels_np(x[some], last)).sum())
+            lab[some] = new
+        return np.concatenate([[moved], np.bincount(lab, minlength=k),
+                               *(np.bincount(lab, x[:, j], minlength=k) for j in range(n))])
+
+    got = total(blocks, sums, 1 + k + k * n)
+    count, where = got[1:1 + k], got[1 + k:].reshape(n, k).T
+    return np.where(count[:, None] > 0, where / np.maximum(count, 1)[:, None], centroids), int(got[0])
 
 
 def assign_np(points: DataFrame, centroids) -> DataFrame:
@@ -134,22 +184,34 @@ def lloyd(points: DataFrame, init: list[list[float]], max_iter: int = 500,
     """Lloyd iterations from ``init``. Returns (labels DataFrame, centroids
     used for those labels, iterations run).
 
+    Points are packed into blocks once. Labels and margins are taken anew in rounds
+    1, 2, 4, 8, ...; between these, centroids hardly move and most points are
+    known to keep their label.
+
     Stable means that no label changed in a round. Comparing the centroids
     would not do: their sums depend, in the last digit, on the order in which
     partial sums arrive.
     """
-    pts = points.select("id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cur = [list(map(float, c)) for c in init]
-        used, it = cur, 0
-        for it in range(1, max_iter + 1):
-            last, used = (used if it > 1 else None), cur
-            cur, moved = _update(pts, used, last)
-            if stop_when_stable and moved == 0:
-                break
-    finally:
-        pts.unpersist()
-    return assign_np(points, used), used, it
+    used, last, it, anew = np.asarray(init, dtype=float), None, 0, 1
+    blocks = packed(points, used.shape[1])
+    bounds, base = None, used
+    for it in range(1, max_iter + 1):
+        if it == anew:
+            bounds, base, anew = _bounded(blocks, used), used, 2 * anew
+        new, moved = _update(bounds, used, last, base)
+        if (stop_when_stable and moved == 0) or it == max_iter:
+            break
+        last, used = used, new
+    return assign_np(points, used), used.tolist(), it
+
+
+def rounds(points: DataFrame, init: list[list[float]], n: int) -> list[list[float]]:
+    """The centroids after ``n`` rounds."""
+    cur = np.asarray(init, dtype=float)
+    blocks = packed(points, cur.shape[1])
+    for _ in range(n):
+        cur, _ = _update(_bounded(blocks, cur), cur, None, cur)
+    return cur.tolist()
 
 
 def kmeans_euclidean(points: DataFrame, init: list[list[float]], max_iter: int = 500):

@@ -129,15 +129,34 @@ k{s} AS (SELECT o.k, coalesce(m.cx, o.cx) AS cx, coalesce(m.cy, o.cy) AS cy FROM
 def q_kmeans_steps(spark, d):
     """The centroids after three Lloyd rounds on the 2-D line points: the
     loop's rounds, one by one, against SQL."""
-    p = _points(spark, d)
-    cur = INIT_2D
-    for _ in range(STEPS):
-        cur, _moved = cl._update(p, cur)
+    cur = cl.rounds(_points(spark, d), INIT_2D, STEPS)
     return spark.createDataFrame([(i, round(c[0], 6), round(c[1], 6)) for i, c in enumerate(cur)],
                                  "cluster int, c0 double, c1 double")
 
 
-@register("kmeans_euclidean")
+def _lloyd_sql(points, start, most, stable):
+    """A whole run as a recursive query over ``points (id, f DOUBLE[])`` from ``start
+    (k, c DOUBLE[])``: round i holds the centroids and how far they came; labels are
+    those under the centroids of the last round but one, or of the stable one."""
+    goes = "(SELECT max(gone) FROM it) > 1e-9 AND" if stable else ""
+    return f"""
+it AS (SELECT 0 AS i, k, c, 1e9::DOUBLE AS gone FROM {start}
+  UNION ALL
+  SELECT o.i + 1, o.k, coalesce(n.c, o.c), coalesce(list_distance(n.c, o.c), 0) FROM it o LEFT JOIN (
+    SELECT k, list(m ORDER BY j) AS c FROM (
+      SELECT k, j, avg(v) AS m FROM (
+        SELECT k, unnest(f) AS v, generate_subscripts(f, 1) AS j FROM (
+          SELECT any_value(f) AS f, arg_min(k, (list_distance(f, c), k)) AS k FROM {points}, it GROUP BY id))
+      GROUP BY k, j) GROUP BY k) n ON n.k = o.k
+  WHERE {goes} o.i < {most - 1}),
+fin AS (SELECT k, c FROM it WHERE i = (SELECT max(i) FROM it))
+SELECT id, arg_min(k, (list_distance(f, c), k))::INTEGER AS cluster FROM {points}, fin GROUP BY id"""
+
+
+@register("kmeans_euclidean", """
+WITH RECURSIVE pt AS (SELECT vec_id AS id, embedding::DOUBLE[] AS f, label FROM embeddings),
+k0 AS (SELECT row_number() OVER (ORDER BY label) - 1 AS k, c FROM (SELECT label, arg_min(f, id) AS c FROM pt GROUP BY label)),
+""" + _lloyd_sql("pt", "k0", 500, True))
 def q_kmeans_euclidean(spark, d):
     """Lloyd to convergence (at most 500 rounds) on the embeddings."""
     pts, init = _embedding_init(spark, d)
@@ -145,7 +164,10 @@ def q_kmeans_euclidean(spark, d):
     return labels
 
 
-@register("kmeans_mahalanobis")
+@register("kmeans_mahalanobis", "WITH RECURSIVE " + b.POINTS_SQL + f""",
+wp AS (SELECT id, [x * {_W[0][0]!r} + y * {_W[1][0]!r}, x * {_W[0][1]!r} + y * {_W[1][1]!r}] AS f FROM pt),
+k0 AS (SELECT * FROM (VALUES {", ".join(f"({i}, [{c[0]!r}, {c[1]!r}]::DOUBLE[])" for i, c in enumerate(_INIT_W))}) v(k, c)),
+""" + _lloyd_sql("wp", "k0", 100, False))
 def q_kmeans_mahalanobis(spark, d):
     """Exactly 100 Mahalanobis rounds on the 2-D line points."""
     labels, _ = cl.kmeans_mahalanobis(_points(spark, d), INIT_2D, np.asarray(P_MATRIX), 100)

@@ -35,9 +35,30 @@ def test_ties_and_empty_cluster(spark):
     assert rows(cl.assign(p, [[0, 0], [2, 0], [100, 100]]))[0] == (0, 0)  # tie -> lower index
     _, used, _ = cl.lloyd(p, [[0, 0], [2, 0], [100, 100]], 1, stop_when_stable=False)
     assert used == [[0.0, 0.0], [2.0, 0.0], [100.0, 100.0]]
-    cur, moved = cl._update(p, [[0, 0], [2, 0], [100, 100]], [[9, 9], [2, 0], [1, 0]])
-    assert moved == 2
-    assert cur[2] == [100.0, 100.0]  # no point: centroid stays
+    now, before = (np.array(c, float) for c in ([[0, 0], [2, 0], [100, 100]], [[9, 9], [2, 0], [1, 0]]))
+    for base in (now, before, now + 3):
+        cur, moved = cl._update(cl._bounded(cl.packed(p, 2), base), now, before, base)
+        assert moved == 2
+        assert cur[2].tolist() == [100.0, 100.0]  # no point: centroid stays
+
+
+def test_bounds_settle_most_points_and_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(c, 1.0, (400, 3)) for c in ([0, 0, 0], [7, 0, 0], [0, 7, 0])])
+    base = np.array([[0.1, 0, 0], [6.8, 0, 0.1], [0, 7.1, 0]])
+    blocks = cl._bounded(cl.packed(pts(spark, x.tolist()), 3), base)
+    moved = base + 0.05
+    want, _ = _numpy_round(x, moved)
+    got, changed = cl._update(blocks, moved, base, base)
+    assert np.allclose(got, want)
+    assert changed == (((x[:, None] - moved) ** 2).sum(2).argmin(1) != ((x[:, None] - base) ** 2).sum(2).argmin(1)).sum()
+    margin = np.concatenate([np.frombuffer(r.margin) for r in blocks.collect()])
+    assert (margin > 2 * np.sqrt(3) * 0.05 + cl.SLACK).mean() > 0.9
+
+
+def _numpy_round(x, c):
+    lab = ((x[:, None, :] - c[None]) ** 2).sum(2).argmin(1)
+    return np.array([x[lab == k].mean(0) if (lab == k).any() else c[k] for k in range(len(c))]), lab
 
 
 def _numpy_lloyd(x, c, max_iter):
