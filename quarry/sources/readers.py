@@ -9,8 +9,13 @@ split, never by reading a file in one task.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
 
 
 def _lines(spark: SparkSession, paths) -> DataFrame:
@@ -36,29 +41,68 @@ def forward_fill_headers(lines: DataFrame, header: F.Column) -> DataFrame:
     split and file borders (files in name order), as one sequential reader
     would.
 
-    Inside each split: ``last(header, ignorenulls)`` over the split's lines.
-    Across splits: a table with one row per split holds the split's last
-    header; a running ``last`` inside each file, and over a table with one row
-    per file, gives each split its carry-in. How the carry table is joined
-    back is left to Spark, which knows its bytes.
+    One pass reads each split in order, carries headers down inside it and closes it
+    with a marker row that holds its last header; lines stay in the task that read
+    them. The pass is written to the shared folder, so the input is read once. A table
+    with one row per split (the markers) gives each split its carry-in, which only
+    the lines above a split's first header have to look up.
     Adds ``hdr`` (this line's own header or NULL) and ``current``.
     """
     d = lines.withColumn("hdr", header)
-    w = Window.partitionBy("file", "block").orderBy("pos") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_own", F.last("hdr", ignorenulls=True).over(w))
-    per_split = d.groupBy("file", "block").agg(
-        F.max_by("hdr", F.when(F.col("hdr").isNotNull(), F.col("pos"))).alias("_last"))
+    names = d.columns
+    kind = d.schema["hdr"].dataType
+    schema = T.StructType([*d.schema.fields, T.StructField("current", kind), T.StructField("_mark", T.BooleanType())])
+
+    def carry(batches):
+        split, value, shape = None, None, None
+
+        def marker():
+            at = {"file": split[0], "block": split[1], "current": value, "_mark": True}
+            return pa.RecordBatch.from_arrays([pa.array([at.get(f.name)], f.type) for f in shape], schema=shape)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if shape is None:
+                shape = b.schema.append(pa.field("current", b.column("hdr").type)).append(pa.field("_mark", pa.bool_()))
+            file = b.column("file").dictionary_encode()
+            block = b.column("block").to_numpy()
+            code = file.indices.to_numpy()
+            cuts = np.flatnonzero((code[1:] != code[:-1]) | (block[1:] != block[:-1])) + 1
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+                some = b.slice(i, j - i)
+                here = (file.dictionary[int(code[i])].as_py(), int(block[i]))
+                if here != split:
+                    if split is not None:
+                        yield marker()
+                    split, value = here, None
+                own = some.column("hdr")
+                last = np.maximum.accumulate(np.where(own.is_valid().to_numpy(zero_copy_only=False), np.arange(j - i), -1))
+                current = own.take(pa.array(np.maximum(last, 0)))
+                if (last < 0).any():
+                    head = int((last < 0).sum())
+                    current = pa.concat_arrays([pa.array([value] * head, own.type), current.slice(head)])
+                yield pa.RecordBatch.from_arrays([*some.columns, current, pa.nulls(j - i, pa.bool_())], schema=shape)
+                value = current[j - i - 1].as_py()
+        if split is not None:
+            yield marker()
+
+    path = scratch_path(d.sparkSession, "carried")
+    d.mapInArrow(carry, schema).write.parquet(path)
+    done = d.sparkSession.read.schema(schema).parquet(path)
+    rows = done.where("_mark is null")
+    per_split = done.where("_mark").select("file", "block", F.col("current").alias("_last"))
     above = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.last("_last", ignorenulls=True).over(above(Window.partitionBy("file").orderBy("block")))
     per_file = per_split.groupBy("file").agg(
         F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("block"))).alias("_flast"))
     files = per_file.select("file", F.last("_flast", ignorenulls=True).over(
         above(Window.orderBy("file"))).alias("_before"))
-    carry = (per_split.withColumn("_in", inside).join(files, "file")
-             .select("file", "block", F.coalesce("_in", "_before").alias("_carry")))
-    return (d.join(carry, ["file", "block"])
-            .withColumn("current", F.coalesce("_own", "_carry")).drop("_own", "_carry"))
+    carried = (per_split.withColumn("_in", inside).join(files, "file")
+               .select("file", "block", F.coalesce("_in", "_before").alias("_carry")))
+    top = (rows.where("current is null").join(carried, ["file", "block"])
+           .withColumn("current", F.col("_carry")))
+    return rows.where("current is not null").select(*names, "current").unionByName(top.select(*names, "current"))
 
 
 def read_ratings(spark: SparkSession, paths) -> DataFrame:
@@ -68,15 +112,15 @@ def read_ratings(spark: SparkSession, paths) -> DataFrame:
     Fix: blank lines are dropped (the reference counts then fails on them).
     Returns ``(movie_id, user_id, rate, rated_on)``; dates stay ISO text."""
     lines = _lines(spark, paths).where(F.trim("value") != "")
+    parts = F.split("value", ",")
+    rating = F.when(~F.col("value").contains(":"), F.struct(
+        F.trim(parts[0]).cast("bigint").alias("user_id"), F.trim(parts[1]).cast("int").alias("rate"),
+        F.trim(parts[2]).alias("rated_on")))
     hdr = F.when(F.col("value").contains(":"),
                  F.trim(F.substring_index("value", ":", 1)).cast("bigint"))
-    filled = forward_fill_headers(lines, hdr)
-    r = filled.where(F.col("hdr").isNull() & ~F.col("value").contains(":"))
-    parts = F.split("value", ",")
-    return r.select(F.col("current").alias("movie_id"),
-                    F.trim(parts[0]).cast("bigint").alias("user_id"),
-                    F.trim(parts[1]).cast("int").alias("rate"),
-                    F.trim(parts[2]).alias("rated_on"))
+    parsed = lines.select("file", "block", rating.alias("r"), hdr.alias("head"))
+    filled = forward_fill_headers(parsed, F.col("head"))
+    return filled.where("r is not null").select(F.col("current").alias("movie_id"), "r.user_id", "r.rate", "r.rated_on")
 
 
 def read_titles(spark: SparkSession, paths) -> DataFrame:
@@ -154,12 +198,23 @@ def read_jsonl_options(spark: SparkSession, paths) -> DataFrame:
 
 def read_bbh_examples(spark: SparkSession, folder: str) -> DataFrame:
     """One JSON object per task file; only the file's first line is
-    used; its ``examples`` are exploded to ``(task, input, target)`` with
+    used (kept by the task that reads it: nothing is grouped or shuffled); its ``examples`` are exploded to ``(task, input, target)`` with
     both fields as text. Tasks are file stems without a further dot."""
     raw = (spark.read.option("pathGlobFilter", "*.json").text(folder)
-           .select("value", F.col("_metadata.file_name").alias("name"),
-                   F.monotonically_increasing_id().alias("pos")))
-    first = raw.groupBy("name").agg(F.min_by("value", "pos").alias("value"))
+           .select("value", F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_path").alias("path"),
+                   F.col("_metadata.file_block_start").alias("block"))
+           .where("block = 0"))
+
+    def first_lines(batches):
+        path = None
+        for b in batches:
+            paths = b.column("path").to_pylist()
+            new = [i for i, p in enumerate(paths) if p != (paths[i - 1] if i else path)]
+            path = paths[-1] if paths else path
+            yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(new, pa.int64())) for c in ("value", "name")],
+                                             names=["value", "name"])
+
+    first = raw.mapInArrow(first_lines, "value string, name string")
     task = F.substring_index("name", ".json", 1)
     first = first.where(~task.contains(".")).withColumn("task", task)
     ex = F.from_json("value", "examples array<struct<input string, target string>>")
