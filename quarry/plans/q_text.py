@@ -9,6 +9,7 @@ from ..operators import sampling as sm
 from ..operators import text as tx
 from ..session import shared_dir
 from . import bindings as b
+from . import sql_text as sq
 from .catalog import register
 
 RV = "WITH " + b.REVIEWS_SQL
@@ -84,15 +85,49 @@ def _clean_split(spark, d):
     return keys.join(cleaned, "doc_id").checkpoint()
 
 
+TK_SQL = r"""
+tk AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(regexp_replace(
+         coalesce(review, 'nan'), '[^a-zA-Z]', ' ', 'g')), '\s+', ' ', 'g')), ' '),
+         lambda w: w <> '' AND NOT list_contains([""" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + r"""], w)) AS t
+       FROM rv)"""
+STEMMED_SQL = TK_SQL + """,
+ut AS (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM tk),
+""" + sq.stems("ut")
+CLF_SQL = BAL_SQL + "," + STEMMED_SQL + "," + sq.FEATURES + ","
+
+
 @register("compare_classifiers")
 def q_compare_classifiers(spark, d):
-    """Six MLlib classifiers on the cleaned reviews (checked by fixtures)."""
+    """All six classifiers on the cleaned reviews (three of them have SQL, next key)."""
     from ..operators import classify as cf
     c = _clean_split(spark, d)
     return cf.compare_classifiers(c.where(F.col("split") == "train"),
                                   c.where(F.col("split") == "test"))
 
 
+COMPARED = {"GaussianNB": "nb", "DecisionTreeClassifier": "dt", "RandomForestClassifier": "rf"}
+
+
+@register("compare_tree_and_bayes", CLF_SQL + ",".join([sq.BAYES, sq.TREE, sq.FOREST]) + """,
+pr AS (""" + " UNION ALL ".join(f"SELECT '{k}' AS name, label, prediction FROM {t}" for k, t in COMPARED.items()) + """),
+mc AS (SELECT name, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+  count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp, count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+  count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) AS n, avg((label = prediction)::INT) AS accuracy
+  FROM pr GROUP BY name)
+SELECT name, round(accuracy, 6) AS accuracy, tn, fp, fn, tp,
+  round(CASE WHEN fn + tp = 0 THEN NULL WHEN tp + fp IN (0, n) THEN ((fn + tp) / n + 1) / 2
+    ELSE (1 - tp / (fn + tp)) * ((fn + tp) / n + tp / (tp + fp)) / 2 + tp / (fn + tp) * (tp / (tp + fp) + 1) / 2 END, 6) AS pr_auc,
+  row_number() OVER (ORDER BY accuracy DESC, name) AS rank FROM mc""")
+def q_compare_tree_and_bayes(spark, d):
+    """The report over the classifiers that SQL can state."""
+    from ..operators import classify as cf
+    c = _clean_split(spark, d)
+    got = cf.compare_classifiers(c.where(F.col("split") == "train"), c.where(F.col("split") == "test"),
+                                 models=list(COMPARED))
+    return got.select("name", F.round("accuracy", 6).alias("accuracy"), "tn", "fp", "fn", "tp",
+                      F.round("pr_auc", 6).alias("pr_auc"), "rank")
+
+
 def _clf_key(model):
     def q(spark, d):
         from ..operators import classify as cf
@@ -103,11 +138,33 @@ def _clf_key(model):
     return q
 
 
-for _key, _model in [("clf_gaussian_nb", "GaussianNB"), ("clf_random_forest", "RandomForestClassifier"),
-                     ("clf_decision_tree", "DecisionTreeClassifier"),
-                     ("clf_logistic", "LogisticRegression"), ("clf_svm", "SVC"),
-                     ("clf_mlp", "MLPClassifier")]:
-    register(_key)(_clf_key(_model))
+def _clf_sql(ctes, name):
+    return CLF_SQL + ctes + f" SELECT doc_id, label, prediction FROM {name}"
+
+
+for _key, _model, _sql in [
+        ("clf_gaussian_nb", "GaussianNB", _clf_sql(sq.BAYES, "nb")),
+        ("clf_random_forest", "RandomForestClassifier", _clf_sql(sq.FOREST, "rf")),
+        ("clf_decision_tree", "DecisionTreeClassifier", _clf_sql(sq.TREE, "dt")),
+        ("clf_logistic", "LogisticRegression", None), ("clf_svm", "SVC", None),
+        ("clf_mlp", "MLPClassifier", None)]:
+    register(_key, _sql)(_clf_key(_model))
+
+
+@register("logistic_steps", """
+WITH pt AS (SELECT l_quantity / 50.0 AS u, l_discount * 10 AS v, (l_returnflag = 'R')::INT AS y FROM lineitem),""" +
+          sq.newton("pt", 3) + " UNION ALL ".join(
+    f" SELECT {i}::INTEGER AS round, round(a, 6) AS w_quantity, round(b, 6) AS w_discount, round(c, 6) AS intercept FROM nr{i}"
+    for i in (1, 2, 3)))
+def q_logistic_steps(spark, d):
+    """Three Newton rounds of logistic regression on the lines: returned, by quantity and discount."""
+    from ..operators import newton
+    li = b.table(spark, d, "lineitem", "l_quantity", "l_discount", "l_returnflag")
+    rows = li.select((F.col("l_returnflag") == "R").cast("double").alias("label"),
+                     F.array(F.col("l_quantity").cast("double") / 50.0, F.col("l_discount").cast("double") * 10).alias("x"))
+    got = newton.newton_rounds(rows, 2, 3)
+    return spark.createDataFrame([(i + 1, *(round(v, 6) for v in w)) for i, w in enumerate(got)],
+                                 "round int, w_quantity double, w_discount double, intercept double")
 
 
 @register("rank_models", """
@@ -126,18 +183,15 @@ def q_rank_models(spark, d):
     return rank_by_score(acc, "accuracy", "name").select("name", F.round("accuracy", 6).alias("accuracy"), "rank")
 
 
-@register("clean_text")
+@register("clean_text", RV + "," + STEMMED_SQL + """
+SELECT tk.doc_id, coalesce(string_agg(stem, ' ' ORDER BY pos), '') AS clean
+FROM tk LEFT JOIN ut USING (doc_id) LEFT JOIN stems USING (term) GROUP BY tk.doc_id""")
 def q_clean_text(spark, d):
-    """All reviews cleaned and stemmed (the stemmer has no SQL form: its words
-    are checked by fixtures, the steps before it by the next key)."""
+    """All reviews cleaned and stemmed."""
     return tx.clean_text(b.reviews(spark, d), "doc_id", "review").select("doc_id", "clean")
 
 
-@register("clean_text_unstemmed", RV + r""",
-tk AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(regexp_replace(
-         coalesce(review, 'nan'), '[^a-zA-Z]', ' ', 'g')), '\s+', ' ', 'g')), ' '),
-         lambda w: w <> '' AND NOT list_contains([""" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + r"""], w)) AS t
-       FROM rv)
+@register("clean_text_unstemmed", RV + "," + TK_SQL + """
 SELECT doc_id, array_to_string(t, ' ') AS clean, CAST(len(t) AS BIGINT) AS n_tokens FROM tk""")
 def q_clean_text_unstemmed(spark, d):
     """All reviews cleaned, before stemming."""
