@@ -19,6 +19,7 @@ The models are those of the reference, each by its own definition:
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.ml.feature import CountVectorizerModel, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +31,7 @@ from . import text as tx
 from .dense import stored
 
 VOCAB = 200
+EPOCHS = 40
 
 # Each: (train, test, number of features, key column) -> (key, label, prediction).
 MODELS: dict[str, Callable[[DataFrame, DataFrame, int, str], DataFrame]] = {
@@ -38,7 +40,7 @@ MODELS: dict[str, Callable[[DataFrame, DataFrame, int, str], DataFrame]] = {
     "DecisionTreeClassifier": trees.tree,
     "LogisticRegression": newton.logistic,
     "SVC": newton.rbf_svm,
-    "MLPClassifier": neural.network,
+    "MLPClassifier": partial(neural.network, max_epochs=EPOCHS, patience=EPOCHS),     # a fixed number of steps
 }
 
 

@@ -9,6 +9,8 @@ partitioning beyond the last digits of sums.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +20,15 @@ from .sampling import md5_key
 
 
 def initial(width: int, hidden: int, seed: int = 0) -> np.ndarray:
-    """All parameters as one vector: hidden weights and biases, output weights and bias."""
-    rng = np.random.default_rng(seed)
+    """All parameters as one vector: hidden weights (row by row) and biases, output
+    weights and bias. The i-th of a kind is drawn by the MD5 of ``seed|kind|i``, evenly
+    within the bounds of Glorot and Bengio for its layer."""
+    def drawn(kind: str, n: int, bound: float) -> np.ndarray:
+        u = [int(hashlib.md5(f"{seed}|{kind}|{i}".encode()).hexdigest()[:13], 16) for i in range(n)]
+        return bound * (2 * (np.array(u, dtype=float) / 16.0 ** 13) - 1)
+
     a, b = np.sqrt(6.0 / (width + hidden)), np.sqrt(6.0 / (hidden + 1))
-    return np.concatenate([rng.uniform(-a, a, width * hidden), rng.uniform(-a, a, hidden),
-                           rng.uniform(-b, b, hidden), rng.uniform(-b, b, 1)])
+    return np.concatenate([drawn("w", width * hidden, a), drawn("b", hidden, a), drawn("v", hidden, b), drawn("c", 1, b)])
 
 
 def _parts(theta: np.ndarray, width: int, hidden: int):

@@ -93,23 +93,18 @@ tk AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(regexp_
 STEMMED_SQL = TK_SQL + """,
 ut AS (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM tk),
 """ + sq.stems("ut")
-CLF_SQL = BAL_SQL + "," + STEMMED_SQL + "," + sq.FEATURES + ","
+CLF_SQL = BAL_SQL.replace("WITH", "WITH RECURSIVE", 1) + "," + STEMMED_SQL + "," + sq.FEATURES + ","
 
 
-@register("compare_classifiers")
-def q_compare_classifiers(spark, d):
-    """All six classifiers on the cleaned reviews (three of them have SQL, next key)."""
-    from ..operators import classify as cf
-    c = _clean_split(spark, d)
-    return cf.compare_classifiers(c.where(F.col("split") == "train"),
-                                  c.where(F.col("split") == "test"))
-
+# The SQL of each classifier: CTEs and the one that holds its predictions.
+CLASSIFIERS = {
+    "GaussianNB": ([sq.BAYES], "nb"), "RandomForestClassifier": ([sq.FOREST], "rf"),
+    "DecisionTreeClassifier": ([sq.TREE], "dt"), "LogisticRegression": ([sq.DENSE, sq.logistic()], "lg"),
+    "SVC": ([sq.DENSE, sq.svm()], "sv"), "MLPClassifier": ([sq.network(2 * 40)], "ml")}
 
-COMPARED = {"GaussianNB": "nb", "DecisionTreeClassifier": "dt", "RandomForestClassifier": "rf"}
 
-
-@register("compare_tree_and_bayes", CLF_SQL + ",".join([sq.BAYES, sq.TREE, sq.FOREST]) + """,
-pr AS (""" + " UNION ALL ".join(f"SELECT '{k}' AS name, label, prediction FROM {t}" for k, t in COMPARED.items()) + """),
+@register("compare_classifiers", CLF_SQL + ",".join(dict.fromkeys(c for ctes, _ in CLASSIFIERS.values() for c in ctes)) + """,
+pr AS (""" + " UNION ALL ".join(f"SELECT '{k}' AS name, label, prediction FROM {t}" for k, (_, t) in CLASSIFIERS.items()) + """),
 mc AS (SELECT name, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
   count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp, count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
   count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) AS n, avg((label = prediction)::INT) AS accuracy
@@ -118,12 +113,11 @@ SELECT name, round(accuracy, 6) AS accuracy, tn, fp, fn, tp,
   round(CASE WHEN fn + tp = 0 THEN NULL WHEN tp + fp IN (0, n) THEN ((fn + tp) / n + 1) / 2
     ELSE (1 - tp / (fn + tp)) * ((fn + tp) / n + tp / (tp + fp)) / 2 + tp / (fn + tp) * (tp / (tp + fp) + 1) / 2 END, 6) AS pr_auc,
   row_number() OVER (ORDER BY accuracy DESC, name) AS rank FROM mc""")
-def q_compare_tree_and_bayes(spark, d):
-    """The report over the classifiers that SQL can state."""
+def q_compare_classifiers(spark, d):
+    """The report over all six classifiers on the cleaned reviews."""
     from ..operators import classify as cf
     c = _clean_split(spark, d)
-    got = cf.compare_classifiers(c.where(F.col("split") == "train"), c.where(F.col("split") == "test"),
-                                 models=list(COMPARED))
+    got = cf.compare_classifiers(c.where(F.col("split") == "train"), c.where(F.col("split") == "test"))
     return got.select("name", F.round("accuracy", 6).alias("accuracy"), "tn", "fp", "fn", "tp",
                       F.round("pr_auc", 6).alias("pr_auc"), "rank")
 
@@ -138,17 +132,12 @@ def _clf_key(model):
     return q
 
 
-def _clf_sql(ctes, name):
-    return CLF_SQL + ctes + f" SELECT doc_id, label, prediction FROM {name}"
-
-
-for _key, _model, _sql in [
-        ("clf_gaussian_nb", "GaussianNB", _clf_sql(sq.BAYES, "nb")),
-        ("clf_random_forest", "RandomForestClassifier", _clf_sql(sq.FOREST, "rf")),
-        ("clf_decision_tree", "DecisionTreeClassifier", _clf_sql(sq.TREE, "dt")),
-        ("clf_logistic", "LogisticRegression", None), ("clf_svm", "SVC", None),
-        ("clf_mlp", "MLPClassifier", None)]:
-    register(_key, _sql)(_clf_key(_model))
+for _key, _model in [("clf_gaussian_nb", "GaussianNB"), ("clf_random_forest", "RandomForestClassifier"),
+                     ("clf_decision_tree", "DecisionTreeClassifier"),
+                     ("clf_logistic", "LogisticRegression"), ("clf_svm", "SVC"),
+                     ("clf_mlp", "MLPClassifier")]:
+    _ctes, _name = CLASSIFIERS[_model]
+    register(_key, CLF_SQL + ",".join(_ctes) + f" SELECT doc_id, label, prediction FROM {_name}")(_clf_key(_model))
 
 
 @register("logistic_steps", """

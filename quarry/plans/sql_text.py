@@ -169,3 +169,84 @@ nr{i + 1} AS (SELECT
    b - (h11 * (g2 * h33 - h23 * g3) - g1 * (h12 * h33 - h23 * h13) + h13 * (h12 * g3 - g2 * h13)) / det AS b,
    c - (h11 * (h22 * g3 - g2 * h23) - h12 * (h12 * g3 - g2 * h13) + g1 * (h12 * h23 - h22 * h13)) / det AS c FROM nd{i})""")
     return ",\n".join(out)
+
+
+# ---------------------------------------------- models found by plain descent
+# The Spark jobs take Newton steps; here the same objectives are minimised by
+# accelerated gradient steps of a fixed length.
+DENSE = """
+xr AS MATERIALIZED (SELECT doc_id, split, y, list(v ORDER BY j) AS f, list_append(list(v ORDER BY j), 1.0) AS f1
+                    FROM x GROUP BY doc_id, split, y)"""
+
+
+def logistic(rounds: int = 500) -> str:
+    """CTEs ending in ``lg (doc_id, label, prediction)``: |w|^2 / 2 + log losses, free intercept."""
+    return f"""
+lc AS (SELECT l, (sqrt(l) - 1) / (sqrt(l) + 1) AS th FROM (
+  SELECT 1 + 0.25 * sum(list_dot_product(f1, f1)) AS l FROM xr WHERE split = 'train')),
+lw AS (SELECT 0 AS i, list_transform(f1, lambda q: 0.0::DOUBLE) AS w, list_transform(f1, lambda q: 0.0::DOUBLE) AS u
+       FROM (SELECT any_value(f1) AS f1 FROM xr)
+  UNION ALL
+  SELECT i + 1, nw, list_transform(nw, lambda q, k: q + th * (q - w[k])) FROM (
+    SELECT i, w, th, list_transform(u, lambda q, k: q - (g[k] + CASE WHEN k < len(u) THEN q ELSE 0 END) / l) AS nw
+    FROM lw, lc, (SELECT list(s ORDER BY j) AS g FROM (SELECT j, sum(r * v) AS s FROM (
+      SELECT unnest(f1) AS v, generate_subscripts(f1, 1) AS j, 1 / (1 + exp(-list_dot_product(f1, u))) - y AS r
+      FROM xr, lw WHERE split = 'train') GROUP BY j))
+    WHERE i < {rounds})),
+lg AS (SELECT doc_id, y AS label, (list_dot_product(f1, w) > 0)::INTEGER AS prediction
+       FROM xr, (SELECT w FROM lw WHERE i = {rounds}) WHERE split = 'test')"""
+
+
+def svm(rounds: int = 3000, corner: float = 0.01) -> str:
+    """CTEs ending in ``sv (doc_id, label, prediction)``: |f|^2 / 2 + hinge losses over the
+    functions that kernels at the training rows span, free intercept."""
+    return f"""
+ga AS (SELECT CASE WHEN var_pop(v) > 0 THEN 1 / (count(DISTINCT j) * var_pop(v)) ELSE 1 END AS gamma FROM x WHERE split = 'train'),
+kr AS MATERIALIZED (SELECT a.doc_id, a.split, a.y, list(exp(-gamma * list_distance(a.f, b.f) ** 2) ORDER BY b.doc_id) AS q
+  FROM xr a, xr b, ga WHERE b.split = 'train' GROUP BY a.doc_id, a.split, a.y),
+kt AS MATERIALIZED (SELECT q, 2.0 * y - 1 AS s, doc_id FROM kr WHERE split = 'train'),
+sc0 AS (SELECT l, (sqrt(l) - 1) / (sqrt(l) + 1) AS th, z FROM (
+  SELECT 1 + (max(list_sum(q)) + count(*)) / {corner} AS l, list_transform(any_value(q), lambda e: 0.0::DOUBLE) AS z FROM kt)),
+sw AS (SELECT 0 AS i, z AS a, 0.0::DOUBLE AS b, z AS ua, 0.0::DOUBLE AS ub FROM sc0
+  UNION ALL
+  SELECT i + 1, na, nb, list_transform(na, lambda q, k: q + th * (q - a[k])), nb + th * (nb - b) FROM (
+    SELECT i, a, b, th, list_transform(ua, lambda q, k: q - (q + d[k]) / l) AS na, ub - list_sum(d) / l AS nb
+    FROM sw, sc0, (SELECT list(-s * least(greatest((1 - m) / {corner}, 0), 1) ORDER BY doc_id) AS d FROM (
+      SELECT doc_id, s, s * (list_dot_product(q, ua) + ub) AS m FROM kt, sw))
+    WHERE i < {rounds})),
+sv AS (SELECT doc_id, y AS label, (list_dot_product(q, a) + b > 0)::INTEGER AS prediction
+       FROM kr, (SELECT a, b FROM sw WHERE i = {rounds}) WHERE split = 'test')"""
+
+
+def network(steps: int, hidden: int = 100, parts: int = 2, rate: float = 0.01, alpha: float = 1e-4) -> str:
+    """CTEs ending in ``ml (doc_id, label, prediction)``: one hidden ReLU layer, Adam. A
+    parameter is (kind, j, k): w from input j to unit k, b and v of unit k, c."""
+    drawn = "(2 * (('0x' || substr(md5('0|' || kind || '|' || i), 1, 13))::BIGINT / 4503599627370496.0) - 1)"
+    forward = """SELECT h.doc_id, h.k, greatest(h.a + b.theta, 0) AS h, v.theta AS v FROM (
+        SELECT doc_id, k, sum(x.v * p.theta) AS a FROM x JOIN {net} p ON p.kind = 'w' AND p.j = x.j {who} GROUP BY doc_id, k) h
+      JOIN {net} b ON b.kind = 'b' AND b.k = h.k JOIN {net} v ON v.kind = 'v' AND v.k = h.k"""
+    return f"""
+nd AS (SELECT count(*) AS d FROM vo),
+np AS (SELECT 'w' AS kind, i // {hidden} AS j, i % {hidden} AS k, i FROM range((SELECT d * {hidden} FROM nd)) r(i)
+  UNION ALL SELECT kind, 0, i, i FROM range({hidden}) r(i), (VALUES ('b'), ('v')) o(kind) UNION ALL SELECT 'c', 0, 0, 0),
+nx AS MATERIALIZED (SELECT doc_id, liked AS y, ('0x' || substr(md5('0|' || doc_id), 1, 8))::BIGINT % {parts} AS part
+                    FROM dset WHERE split = 'train'),
+net AS (SELECT 0 AS t, kind, j, k, {drawn} * CASE WHEN kind IN ('w', 'b') THEN sqrt(6.0 / (d + {hidden}))
+          ELSE sqrt(6.0 / ({hidden} + 1)) END AS theta, 0.0::DOUBLE AS m, 0.0::DOUBLE AS s FROM np, nd
+  UNION ALL
+  SELECT t + 1, kind, j, k, theta - {rate} * sqrt(1 - 0.999 ** (t + 1)) / (1 - 0.9 ** (t + 1)) * nm / (sqrt(ns) + 1e-8), nm, ns
+  FROM (SELECT t, kind, j, k, theta, 0.9 * m + 0.1 * g AS nm, 0.999 * s + 0.001 * g * g AS ns FROM (
+    WITH mine AS (SELECT doc_id, y FROM nx WHERE part = (SELECT any_value(t) FROM net) % {parts}),
+    fw AS ({forward.format(net='net', who='WHERE doc_id IN (SELECT doc_id FROM mine)')}),
+    er AS (SELECT doc_id, 1 / (1 + exp(-(z + c.theta))) - y AS e FROM (SELECT doc_id, sum(h * v) AS z FROM fw GROUP BY doc_id)
+           JOIN mine USING (doc_id), (SELECT theta FROM net WHERE kind = 'c') c),
+    bk AS (SELECT doc_id, k, CASE WHEN h > 0 THEN e * v ELSE 0 END AS r, e * h AS o, e FROM fw JOIN er USING (doc_id)),
+    gr AS (SELECT 'w' AS kind, j, k, sum(x.v * r) AS g FROM x JOIN bk USING (doc_id) GROUP BY j, k
+      UNION ALL SELECT 'b', 0, k, sum(r) FROM bk GROUP BY k UNION ALL SELECT 'v', 0, k, sum(o) FROM bk GROUP BY k
+      UNION ALL SELECT 'c', 0, 0, sum(e) FROM er)
+    SELECT p.*, (coalesce(gr.g, 0) + CASE WHEN kind IN ('w', 'v') THEN {alpha} * theta ELSE 0 END)
+      / (SELECT count(*) FROM mine) AS g FROM net p LEFT JOIN gr USING (kind, j, k) WHERE p.t < {steps}))),
+ne AS MATERIALIZED (SELECT * FROM net WHERE t = {steps}),
+nf AS ({forward.format(net='ne', who="WHERE split = 'test'")}),
+ml AS (SELECT f.doc_id, d.liked AS label, (sum(h * v) + (SELECT theta FROM ne WHERE kind = 'c') > 0)::INTEGER AS prediction
+       FROM nf f JOIN dset d USING (doc_id) GROUP BY f.doc_id, d.liked)"""
