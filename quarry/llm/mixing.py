@@ -212,6 +212,9 @@ def apply(docs: DataFrame, repeats: float | None = None, entropy: float | None =
     Rows that share an id (or have none) are used equally often."""
     used = (mix(docs, repeats, entropy, budget, id_col, seed)
             .groupBy(F.col(id_col).alias("_id")).agg(F.max("copies").cast("int").alias("_copies")))
-    return (docs.join(used, docs[id_col].eqNullSafe(F.col("_id"))).where("_copies > 0")
+    # Whole rows travel in one struct, so their column names meet no others.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns))).alias("row"),
+                       F.col(f"`{id_col}`").alias("id"))
+    return (rows.join(used, rows["id"].eqNullSafe(F.col("_id"))).where("_copies > 0")
             .withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+            .select(*(F.col(f"row._{i}").alias(c) for i, c in enumerate(docs.columns))))

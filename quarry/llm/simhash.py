@@ -281,47 +281,53 @@ def links(classes: DataFrame, distance: int) -> DataFrame:
     return met.mapInArrow(lambda it: _link(it, distance), "a long, b long")
 
 
+def _labelled(prints: DataFrame, distance: int, id_col: str) -> DataFrame:
+    """``(fp, _c, _min)``: the component of every fingerprint and the least id that has
+    it. All rows make classes, those without an id as well."""
+    classes = materialise(prints.groupBy("fp").agg(F.min(id_col).cast("long").alias("_min"))
+                          .withColumn("rep", F.col("fp")), "classes")
+    found = components(links(classes.select("fp", "rep"), distance))
+    return materialise(classes.join(found, classes["rep"] == found["node"], "left")
+                       .select("fp", "_min", F.coalesce("component", "rep").alias("_c")), "components")
+
+
 def near_duplicates(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``(id, fp, component)`` of every row; ids must be integers."""
+    """``(id, fp, component_id)`` of every row; ids must be integers. Rows without
+    an id link others like any row; a component of such rows alone has a null id."""
     prints = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = materialise(prints.where(F.col(id_col).isNotNull()).groupBy("fp")
-                          .agg(F.min(id_col).cast("long").alias("rep")), "classes")
-    found = components(links(classes, distance))
-    labels = (classes.join(found, classes["rep"] == found["node"], "left")
-              .select(F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component_id")))
-    return (prints.join(labels, F.col("fp") == F.col("_fp"), "left")
+    labels = _labelled(prints, distance, id_col)
+    names = labels.groupBy("_c").agg(F.min("_min").alias("component_id"))
+    named = labels.join(names, "_c").select(F.col("fp").alias("_fp"), "component_id")
+    return (prints.join(named, F.col("fp") == F.col("_fp"), "left")
             .select(id_col, "fp", "component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """One row of each component, all columns kept: the first by id (null last),
-    then by text. Components are those of all rows, whatever their ids: rows
-    without an id count, and a repeated id does not join its rows' texts.
+    """One row of each component, all columns kept, whatever their names: the first by
+    id (null last), then by text. Components are those of all rows, whatever their ids:
+    rows without an id count, and a repeated id does not join its rows' texts.
     """
-    prints = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = materialise(prints.groupBy("fp").agg(F.min(id_col).cast("long").alias("_min"))
-                          .withColumn("rep", F.col("fp")), "classes")
-    found = components(links(classes.select("fp", "rep"), distance))
-    labels = materialise(classes.join(found, classes["rep"] == found["node"], "left")
-                         .select("fp", "_min", F.coalesce("component", "rep").alias("_c")), "components")
+    columns = docs.columns
+    docs = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns))).alias("row"),
+                       F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    prints = materialise(fingerprints(docs, shingle, "id", "text"), "fingerprints")
+    labels = _labelled(prints, distance, "id")
     best = labels.groupBy("_c").agg(F.min("_min").alias("_id"))
-    ids = (prints.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+    ids = (prints.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_id"))
            .agg(F.count(F.lit(1)).alias("_n")))
-    once = docs.join(ids.where("_n = 1").join(best, "_id"), docs[id_col] == F.col("_id"), "left_semi")
+    once = docs.join(ids.where("_n = 1").join(best, "_id"), docs["id"] == F.col("_id"), "left_semi")
     # Null and repeated ids do not name a row: these rows are told apart by fingerprint and text.
-    again = (docs.join(ids.where("_n > 1"), docs[id_col] == F.col("_id"), "left_semi")
-             .unionByName(docs.where(F.col(id_col).isNull())))
-    packed = again.select(F.struct(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns))).alias("_row"),
-                          F.col(text_col).alias("_text"))
-    row = fingerprints(packed, shingle, "_row", "_text").select(
-        "fp", *(F.col(f"_row._{i}").alias(c) for i, c in enumerate(docs.columns)))
+    again = (docs.join(ids.where("_n > 1"), docs["id"] == F.col("_id"), "left_semi")
+             .unionByName(docs.where(F.col("id").isNull())))
+    packed = again.select(F.struct("row", "id", "text").alias("all"), "text")
+    row = fingerprints(packed, shingle, "all", "text").select("fp", "all.*")
     owner = labels.join(best, "_c").select(F.col("fp").alias("_fp"), "_c", "_id")
-    first = Window.partitionBy("_c").orderBy(F.col(text_col).asc_nulls_first())
-    again = (row.join(owner, (F.col("fp") == F.col("_fp")) & F.col(id_col).eqNullSafe(F.col("_id")))
-             .withColumn("_k", F.row_number().over(first)).where("_k = 1").select(*(f"`{c}`" for c in docs.columns)))
-    return once.unionByName(again)
+    first = Window.partitionBy("_c").orderBy(F.col("text").asc_nulls_first())
+    again = (row.join(owner, (F.col("fp") == F.col("_fp")) & F.col("id").eqNullSafe(F.col("_id")))
+             .withColumn("_k", F.row_number().over(first)).where("_k = 1").select("row"))
+    return once.select("row").unionByName(again).select(*(F.col(f"row._{i}").alias(c) for i, c in enumerate(columns)))
 
 
 def hex_digits(fp: str = "fp"):

@@ -35,13 +35,12 @@ def test_fingerprints_and_components_match_brute_force(spark):
     got = simhash.near_duplicates(docs(spark, rows), 4, 4).collect()
     assert len(got) == len(rows)
     fps = {r[0]: brute_fp(r[1], 4) for r in rows}
-    ids = sorted(i for i in fps if i is not None)
+    ids = sorted((i for i in fps if i is not None), key=int) + [None]
     label = brute_components([fps[i] for i in ids], 4)
     want = {i: ids[k] for i, k in zip(ids, label)}
     for r in got:
         assert r["fp"] & (2**64 - 1) == fps[r["doc_id"]]
-        if r["doc_id"] is not None:
-            assert r["component_id"] == want[r["doc_id"]]
+        assert r["component_id"] == want[r["doc_id"]]
     assert fps[20] == fps[21] == 0
 
 
@@ -127,3 +126,27 @@ def test_keep_one_with_null_and_repeated_ids(spark):
     assert sorted((r["doc_id"] or 99, r["text"] or "") for r in got) == sorted(
         [(3, a), (5, b), (9, c), (99, d), (12, e), (12, f), (13, "")])
     assert {(r["lang"], r["rep"], r["score"]) for r in got} == {("en", 3, 0.5)}
+
+
+def test_rows_without_id_link_others(spark):
+    """Texts 1 and 9 are near only through a third text, with or without an id."""
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"u{x}" for x in rng.integers(0, 10**6, 400))]
+    apart = lambda a, b: (brute_fp(a, 4) ^ brute_fp(b, 4)).bit_count()
+    for i in range(400):                        # change a few words until the third is far from the first
+        if len(texts) == 3:
+            break
+        w = texts[-1].split()
+        for at in rng.integers(0, len(w), 3):
+            w[at] = f"n{i}x{at}"
+        new = " ".join(w)
+        if apart(texts[-1], new) in (3, 4) and (len(texts) < 2 or apart(texts[0], new) > 4):
+            texts.append(new)
+    assert (brute_fp(texts[0], 4) ^ brute_fp(texts[2], 4)).bit_count() > 4
+    for middle in (5, None):
+        rows = [(i, t, "en", "s", 1, 1, 2, "v", 3, 0.5) for i, t in zip((1, middle, 9), texts)]
+        got = simhash.near_duplicates(docs(spark, rows), 4, 4).collect()
+        assert [r["component_id"] for r in got] == [1, 1, 1]
+        assert simhash.keep_one(docs(spark, rows), 4, 4).collect()[0]["doc_id"] == 1
+    alone = [(None, texts[0], "en", "s", 1, 1, 2, "v", 3, 0.5)] * 2
+    assert {r["component_id"] for r in simhash.near_duplicates(docs(spark, alone), 4, 4).collect()} == {None}
