@@ -10,8 +10,10 @@ All steps are DataFrame functions.
   the last earlier message of its conversation that has the hash, else to the
   first one, by conversation and turn, of any other conversation (a conversation
   id is no time; reply chains stay inside a conversation, so they never form a
-  circle); a passage without a whole match is linked by its paragraphs, else by
-  its lines.
+  circle). A passage without a whole match is linked by its paragraphs, to the
+  message that most of their characters lead to; else by its lines, to the message
+  that more than half of all their characters lead to (one common line is no
+  quotation). Ties go to the own conversation, then to the latest message.
 * A message replies to the message its lowest-level linked passage names. Roots
   of reply chains are found by pointer doubling; inside a conversation messages
   are ordered by (turn of the root, turn), so replies follow what they answer.
@@ -98,18 +100,19 @@ def _units(text: Column) -> Column:
 
 
 def _asked(passages: DataFrame) -> DataFrame:
-    """``(uid, run, level, conv, turn, whole, hash)``: hashes to look up; ``whole``
-    is 2 for the passage, 1 for its paragraphs, 0 for its lines."""
+    """``(uid, run, level, conv, turn, whole, total, hash, chars)``: hashes to look up;
+    ``whole`` is 2 for the passage, 1 for its distinct paragraphs, 0 for its distinct
+    lines; ``chars`` is a piece's length, ``total`` that of all pieces of its kind."""
     keep = ["uid", "run", "level", "conv", "turn"]
-    whole, paragraphs, lines = _pieces(F.col("passage"))
-    ranked = [(2, whole), (1, F.array_except(paragraphs, whole)),
-              (0, F.array_except(lines, F.concat(whole, paragraphs)))]
+    whole, paragraphs, lines = map(F.array_distinct, _pieces(F.col("passage")))
 
-    def hashed(rank: int, u: Column) -> Column:
-        return F.transform(u, lambda x: F.struct(F.lit(rank).alias("whole"), F.md5(x).alias("hash")))
+    def kind(rank: int, pieces: Column) -> Column:
+        total = F.aggregate(pieces, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
+        return F.struct(F.lit(rank).alias("whole"), total.alias("total"), pieces.alias("pieces"))
 
-    units = F.concat(*(hashed(n, u) for n, u in ranked))
-    return passages.select(*keep, F.inline(units))
+    kinds = passages.select(*keep, F.inline(F.array(kind(2, whole), kind(1, paragraphs), kind(0, lines))))
+    return (kinds.select(*keep, "whole", "total", F.explode("pieces").alias("piece"))
+            .select(*keep, "whole", "total", F.md5("piece").alias("hash"), F.length("piece").alias("chars")))
 
 
 def _found(asked: DataFrame, units: DataFrame) -> DataFrame:
@@ -146,8 +149,12 @@ def link_passages(messages: DataFrame, parts: DataFrame, own: DataFrame) -> Data
              .select("conv", "turn", F.explode(_units(F.col("own"))).alias("u"))
              .select("conv", "turn", F.md5("u").alias("hash")).distinct())
     asked = materialise(_asked(_passages(parts).where("conv is not null and turn is not null")), "quoted")
-    best = F.max(F.struct("whole", "same", "o_turn", "o_conv")).alias("best")
-    return (_found(asked, units).groupBy("uid", "run", "level", "conv", "turn").agg(best)
+    passage = ["uid", "run", "level", "conv", "turn"]
+    covered = (_found(asked, units).groupBy(*passage, "whole", "total", "same", "o_turn", "o_conv")
+               .agg(F.sum("chars").alias("covered"))
+               .where((F.col("whole") > 0) | (2 * F.col("covered") > F.col("total"))))
+    best = F.max(F.struct("whole", "covered", "same", "o_turn", "o_conv")).alias("best")
+    return (covered.groupBy(*passage).agg(best)
             .select("uid", "run", "level", "conv", "turn", "best.o_conv", "best.o_turn"))
 
 

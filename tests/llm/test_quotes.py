@@ -1,4 +1,7 @@
+import re
+
 import numpy as np
+import pytest
 
 from quarry.llm import quotes
 from quarry.llm.quotes import reply_order
@@ -128,3 +131,110 @@ def test_whole_match_goes_before_paragraphs(spark):
     rows = [(1, 0, "user", "one two\n\nthree four"), (1, 1, "user", "one two"),
             (1, 2, "user", "> one two\n>\n> three\n> four\nyes")]
     assert run(spark, rows)[(1, 2)]["reply_turn"] == 0
+
+
+def test_one_common_line_is_no_quotation(spark):
+    rows = [(1, 0, "user", "Hi,\nthe first message"), (2, 0, "user", "> Hi,\n> unheard of words here\n> and more never said\nok"),
+            (1, 1, "user", "> Hi,\n> the first message\n> added by hand\nwell"),
+            (3, 0, "user", "Hi,\nlong line of the original text\nend"),
+            (3, 1, "user", "Hi,"), (3, 2, "user", "> Hi,\n> long line of the original text\n> not said\nyes")]
+    got = run(spark, rows)
+    parent = {k: (r["reply_conv"], r["reply_turn"]) for k, r in got.items() if r["linked"]}
+    assert parent == {(1, 1): (1, 0), (3, 2): (3, 0)}
+
+
+# ------------------------------------------------------------- brute force
+def norm(x):
+    return re.sub(r"\s+", " ", x.lower()).strip(" ")
+
+
+def kinds(text):
+    cut = [[text], re.split(r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)", text), re.split(r"\r\n|\r|\n", text)]
+    return [list(dict.fromkeys(x for x in map(norm, c) if x)) for c in cut]
+
+
+def taken_apart(text):
+    """Own text and passages (level, text) of a message."""
+    lines = []
+    for x in re.split(r"\r\n|\r|\n", text):
+        mark = re.match(r"[ \t>]*>", x)
+        body = x[len(mark.group()):] if mark else x
+        lines.append((mark.group().count(">") if mark else 0, body[1:] if body.startswith(" ") else body))
+    if not any(n for n, _ in lines):
+        return text, []
+    lines = [(n, b) for i, (n, b) in enumerate(lines)
+             if not (n == 0 and re.match(r"\s*On .* wrote:\s*$", b) and i + 1 < len(lines) and lines[i + 1][0])]
+    runs = []
+    for n, b in lines:
+        if runs and runs[-1][0] == n:
+            runs[-1][1].append(b)
+        else:
+            runs.append((n, [b]))
+    own = "\n".join(b for n, b in lines if n == 0).strip()
+    return own, [(n, "\n".join(b)) for n, b in runs if n]
+
+
+def brute_parents(rows):
+    own, passages, have = {}, {}, {}
+    for c, t, _, text in rows:
+        own[c, t], passages[c, t] = taken_apart(text)
+        for u in {x for k in kinds(own[c, t]) for x in k}:
+            have.setdefault(u, set()).add((c, t))
+
+    def original(c, t, unit):
+        mine = [m for m in have.get(unit, ()) if m[0] == c and m[1] < t]
+        others = [m for m in have.get(unit, ()) if m[0] != c]
+        return (max(mine), 1) if mine else (min(others), 0) if others else None
+
+    out = {}
+    for (c, t), quoted in passages.items():
+        links = []
+        for level, passage in quoted:
+            best = []
+            for whole, pieces in zip((2, 1, 0), kinds(passage)):
+                covered = {}
+                for x in pieces:
+                    got = original(c, t, x)
+                    if got:
+                        covered[got] = covered.get(got, 0) + len(x)
+                best += [(whole, n, same, m[1], m[0]) for (m, same), n in covered.items()
+                         if whole or 2 * n > sum(map(len, pieces))]
+            if best:
+                links.append((-level, max(best)[2], max(best)[3], max(best)[4]))
+        top = max(((lv, int(oc == c), ot, oc) for lv, _, ot, oc in links), default=None)
+        out[c, t] = (own[c, t], len(links), (top[3], top[2]) if top else (None, None))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_threads_equal_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+    common = ["Hi,", "thanks", "see below", "bye"]
+
+    def line():
+        return common[rng.integers(4)] if rng.random() < 0.3 else " ".join(f"w{x}" for x in rng.integers(0, 40, rng.integers(1, 6)))
+
+    rows = []
+    for c in range(14):
+        mine = []
+        for t in range(int(rng.integers(1, 9))):
+            parts = []
+            for _ in range(int(rng.integers(0, 3))):
+                pool = mine if mine and rng.random() < 0.8 else [r[3] for r in rows] or ["nothing"]
+                said = taken_apart(pool[rng.integers(len(pool))])[0].split("\n")
+                some = [x for x in said if rng.random() < 0.8] + [line() for _ in range(int(rng.integers(0, 2)))]
+                mark = ["> ", ">", ">> ", "> > "][rng.integers(4)]
+                if rng.random() < 0.3:
+                    parts.append("On some day X wrote:")
+                parts += [mark + x for x in some]
+                parts += ["", line()] if rng.random() < 0.7 else [""]
+            paragraphs = ["\n".join(line() for _ in range(int(rng.integers(1, 4)))) for _ in range(int(rng.integers(1, 4)))]
+            text = "\n".join(parts + ["\n\n".join(paragraphs)])
+            rows.append((c, t, "user", text))
+            mine.append(text)
+    got, want = run(spark, rows), brute_parents(rows)
+    linked = 0
+    for k, (own, n, parent) in want.items():
+        assert (got[k]["text"], got[k]["linked"], (got[k]["reply_conv"], got[k]["reply_turn"])) == (own, n, parent), k
+        linked += n
+    assert linked > 5
