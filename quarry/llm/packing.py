@@ -10,7 +10,8 @@
   largest first; mutation dissolves some of the worst bins as well. Between
   rounds each island's elite migrates to the next island.
 * Bins of the winning member that are not well filled are dissolved, and all
-  cells' left-over pieces are packed once more, in fewer cells.
+  cells' left-over pieces are packed once more, in fewer cells, as long as that
+  takes fewer bins.
 
 Populations are rows of (uids, lengths, bins) of bounded size; Spark shuffles
 and writes them between rounds.
@@ -245,14 +246,24 @@ def pack(items: DataFrame, params: Params = Params()) -> DataFrame:
     n_cells = max(1, -(-part.count() // p.cell_items))
     packed = _pack_cells(part, n_cells, p)
     keep = ["uid", "sequence_id", "offset"]
-    if n_cells > 1:
+    done = []
+    while n_cells > 1:
+        # What stands in loose bins is packed once more, over all cells; fewer bins win.
         loose = F.col("fill") < p.well_filled * p.capacity
-        rest = packed.where(loose).select("uid", "length")
-        n_rest = max(1, -(-rest.count() // p.cell_items))
-        if n_rest < n_cells:
-            again = _pack_cells(rest, n_rest, p)
-            packed = packed.where(~loose).unionByName(again)
-    return full.unionByName(packed.select(*keep))
+        rest = packed.where(loose)
+        items, bins = rest.agg(F.count(F.lit(1)), F.count_if(F.col("uid") == F.col("sequence_id"))).first()
+        n_rest = max(1, -(-items // p.cell_items))
+        if n_rest >= n_cells:
+            break
+        again = _pack_cells(rest.select("uid", "length"), n_rest, p)
+        if again.where("uid = sequence_id").count() >= bins:
+            break
+        done.append(packed.where(~loose))
+        packed, n_cells = again, n_rest
+    out = full
+    for bins in [*done, packed]:
+        out = out.unionByName(bins.select(*keep))
+    return out
 
 
 def pack_documents(docs: DataFrame, end_id: int, params: Params = Params(),
