@@ -59,7 +59,7 @@ SUMS = "p int, block long, keys binary, kept binary, types binary"
 @dataclass(frozen=True)
 class Params:
     order: int = 2
-    min_count: int = 2       # n-grams of order 2 and up below this are not listed
+    min_count: int = 1       # n-grams of order 2 and up below this are not listed
     discount: float = 0.75
     block_tokens: int = 600_000
     range_tokens: int = 2_000_000   # training and scoring tokens per hash range

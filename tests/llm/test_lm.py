@@ -12,7 +12,7 @@ from tests.llm.helpers import awkward_rows, docs
 LOWER = {i: i + 32 for i in range(65, 91)}
 
 
-def brute(rows, trained, order, min_count=2, d=0.75):
+def brute(rows, trained, order, min_count=1, d=0.75):
     texts = [re.findall(r"[^\x20\x09-\x0D]+", (r[1] or "").translate(LOWER)) + ["\n"] for r in rows]
     count = [Counter() for _ in range(order + 1)]
     for r, t in zip(rows, texts):
@@ -48,16 +48,16 @@ def key(r):
     return (r[0] is None, r[0] or 0, r[1])
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_scores_match_brute_force(spark, order):
+@pytest.mark.parametrize("order,min_count", [(1, 1), (2, 1), (2, 2), (3, 1), (3, 2)])
+def test_scores_match_brute_force(spark, order, min_count):
     import zlib
     rows = awkward_rows(80)
     trained = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 != 1
-    p = replace(lm.Params(), order=order, block_tokens=700, range_tokens=900)
+    p = replace(lm.Params(), order=order, min_count=min_count, block_tokens=700, range_tokens=900)
     got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"])
                  for r in lm.score(docs(spark, rows).repartition(3), crc_mod5() != 1, p).collect()
                  if r["doc_id"] is not None)
-    want = sorted((r[0], *b) for r, b in zip(rows, brute(rows, trained, order)) if r[0] is not None)
+    want = sorted((r[0], *b) for r, b in zip(rows, brute(rows, trained, order, min_count)) if r[0] is not None)
     assert len(got) == len(want) == len(rows) - 1
     for a, b in zip(got, want):
         assert a[:4] == b[:4]
