@@ -200,7 +200,69 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.extract(table(spark, sf_dir, "pages"))
 
 
-@register("op13_conversation_repair")
+def _least_sql(state: int) -> str:
+    """The cheapest edit, then ASCII-least audit, of the first row from ``state`` of the role
+    automaton (0 start, 1 after s, 2 after u, 3 after a), given s0 .. s3 of what follows: nine
+    digits of cost, then letters."""
+    def step(to: int, cost: str, letter: str) -> str:
+        return f"lpad((left(s{to}, 9)::INT + {cost})::VARCHAR, 9, '0') || '{letter}' || substr(s{to}, 10)"
+
+    goes = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[state]
+    forced = goes.get("u", goes.get("a"))
+    keep = " ".join(f"WHEN initial = '{c}' THEN {step(to, 'IF(cut, 3, 0)', 'K')}" for c, to in goes.items())
+    return (f"least({step(state, '4', 'D')}, CASE WHEN gone THEN 'x' {keep} ELSE 'x' END, "
+            f"CASE WHEN gone THEN 'x' ELSE {step(forced, 'IF(cut, 6, 3)', 'R')} END)")
+
+
+def _inserted_sql(inner: str, keep: str) -> str:
+    """s0 .. s3 once more, with up to three insertions ahead."""
+    for _ in range(3):
+        add = lambda q: f"lpad((left(s{q}, 9)::INT + 3)::VARCHAR, 9, '0') || 'I' || substr(s{q}, 10)"
+        inner = (f"SELECT {keep}, least(s0, {add(2)}) AS s0, least(s1, {add(2)}) AS s1, least(s2, {add(3)}) AS s2, "
+                 f"least(s3, {add(2)}) AS s3 FROM ({inner})")
+    return inner
+
+
+OP13_SQL = f"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+c AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS c FROM (SELECT DISTINCT conv_id FROM o)),
+d AS (SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN ''
+        WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM o JOIN c ON c.conv_id IS NOT DISTINCT FROM o.conv_id),
+r AS (SELECT *, md5(strlen(role) || ':' || role || text) AS h, regexp_extract(text, '([^ \t\n\x0B\f\r])[ \t\n\x0B\f\r]*$', 1) AS last,
+        left(role, 1) AS initial FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, h, copy) AS i,
+        row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM r),
+f AS (SELECT *, last = '' AS blank, last <> '' AND again AS twice, last <> '' AND NOT again AND last NOT IN ('.', '!', '?') AS cut,
+        last = '' OR again AS gone, lag(initial) OVER (PARTITION BY c ORDER BY i) || initial AS pair FROM n),
+g AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+        count_if(twice) AS duplicate, count_if(cut) AS truncated,
+        count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY c),
+e AS (SELECT c, coalesce(n, 0) AS n FROM c LEFT JOIN g USING (c)),
+b AS ({_inserted_sql("SELECT c, n AS i, '000000000' AS s0, 'x' AS s1, 'x' AS s2, '000000000' AS s3 FROM e", "c, i")
+       .replace("left(s1, 9)::INT", "try_cast(left(s1, 9) AS INT)").replace("left(s2, 9)::INT", "try_cast(left(s2, 9) AS INT)")}
+  UNION ALL
+  {_inserted_sql("SELECT b.c, b.i - 1 AS i, " + ", ".join(f"{_least_sql(q)} AS s{q}" for q in range(4))
+                 + " FROM b JOIN f ON f.c = b.c AND f.i = b.i", "c, i")}),
+a AS (SELECT c, left(s0, 9)::BIGINT AS cost, substr(s0, 10) AS audit FROM b WHERE i = 0),
+w AS (SELECT c, 1 AS p, 0 AS i, 0 AS q, '' AS text FROM a
+  UNION ALL
+  SELECT c, p + 1, i + (e <> 'I')::INT, q, text || CASE WHEN e = 'D' THEN '' ELSE IF(text = '', '', chr(10)) || line END FROM (
+    SELECT w.c, p, w.i, substr(audit, p, 1) AS e, w.text,
+      CASE WHEN e = 'D' THEN q WHEN e = 'K' THEN CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+        WHEN q = 2 THEN 3 ELSE 2 END AS q,
+      CASE WHEN e = 'K' THEN f.role ELSE CASE WHEN w.q = 2 THEN 'assistant' ELSE 'user' END END || ':'
+        || CASE WHEN e = 'I' THEN '' ELSE f.text END AS line
+    FROM w JOIN a USING (c) LEFT JOIN f ON f.c = w.c AND f.i = w.i + 1 WHERE p <= length(audit)))
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, cost, audit, sha256(w.text) AS repaired_sha256
+FROM c LEFT JOIN g USING (c) JOIN a USING (c) JOIN w ON w.c = c.c AND w.p = length(audit) + 1
+"""
+
+
+@register("op13_conversation_repair", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
