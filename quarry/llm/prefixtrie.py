@@ -377,8 +377,11 @@ def trie(seqs: DataFrame) -> DataFrame:
     border = border.join(shas, "hash", "left").withColumn("ends_sha256", F.coalesce("ends_sha256", "sha"))
     nodes = inner.unionByName(border.drop("sha"))
     parents = border.select(F.col("hash").alias("parent_hash"), F.col("conv_id").alias("outer_parent"))
-    known = nodes.where("parent_hash is null")
-    asked = (nodes.where("parent_hash is not null").join(parents, "parent_hash")
+    # The root's children, which may be nearly all nodes, need no join.
+    least = border.where("depth = 0").first()["conv_id"]
+    known = (nodes.where("parent_hash is null or depth = 1")
+             .withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.lit(least)).otherwise(F.col("parent_conv_id"))))
+    asked = (nodes.where("parent_hash is not null and depth > 1").join(parents, "parent_hash")
              .withColumn("parent_conv_id", F.col("outer_parent")))
     names = [x.split()[0] for x in NODE.split(", ")]
     return known.select(names).unionByName(asked.select(names))
