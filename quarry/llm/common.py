@@ -43,6 +43,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_passes(rows: DataFrame, key: str, size: Column, limit: int) -> Iterator[list]:
+    """The rows on the driver, a bounded part of them at a time, for a broadcast: parts by
+    hash of ``key`` whose total ``size`` is about ``limit`` bytes. Sizes are added up before
+    anything is fetched, and there are more parts until the largest has at most twice the
+    limit or a single row."""
+    sized = rows.select(F.col(key), size.cast("long").alias("_n"))
+    total, count = sized.agg(F.sum("_n"), F.count(F.lit(1))).first()
+    n = max(1, -(-(total or 0) // limit))
+
+    def part(n):
+        return F.pmod(F.xxhash64(key, F.lit(3)), F.lit(n))
+
+    while n < count:
+        if sized.groupBy(part(n)).agg(F.sum("_n").alias("_n")).agg(F.max("_n")).first()[0] <= 2 * limit:
+            break
+        n = 2 * n
+    for i in range(n):
+        got = rows.where(part(n) == i).collect()
+        if got:
+            yield got
+
+
 def text_bytes(col: str = "text") -> Column:
     """The UTF-8 bytes of a text column; null is the empty text."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")

@@ -8,10 +8,11 @@ it). A query skips a half whose nearest possible distance, by the triangle
 inequality, exceeds ``factor`` times its k-th best distance. Factor 1 is exact;
 a smaller one skips more.
 
-Queries travel in blocks, each to every shard of its dimension, and all queries
-of a block go down a tree together. Every shard returns at most k rows for
-each query, of which Spark keeps the k best. Scores are computed in double precision
-from the original vectors.
+Queries are taken in passes of at most about ``PASS_BYTES``, their size checked; a
+pass is broadcast to the tasks that hold the trees, so a tree moves once a pass and
+not once for each block of queries. The queries of a block go down a tree together.
+Every shard returns at most k rows for each query, of which Spark keeps the k best.
+Scores are computed in double precision from the original vectors.
 
 Defined results: null, empty and zero vectors and those with a null, NaN or
 infinite component take no part; only vectors of the same dimension meet; ties
@@ -28,10 +29,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import bounded_passes, materialise
 
 SHARD_ROWS = 4096
 BLOCK_ROWS = 512
+PASS_BYTES = 32 << 20       # of query vectors broadcast at once
 LEAF = 64
 NO_ID = np.iinfo(np.int64).max
 # Distances of unit vectors are rounded; pruning leaves this much room.
@@ -148,10 +150,6 @@ def usable(vector: str) -> Column:
     return v.isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(v, lambda x: x != 0)
 
 
-def _pack(vectors) -> bytes:
-    return np.stack(list(vectors)).astype("<f8").tobytes()
-
-
 def _unpack(blob: bytes, dim: int) -> np.ndarray:
     return np.frombuffer(blob, "<f8").reshape(-1, dim)
 
@@ -185,36 +183,38 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int, factor: float = 1.0
                 F.coalesce(is_query, F.lit(False)).alias("is_query"))
         .withColumn("uid", F.monotonically_increasing_id())
         .withColumn("dim", F.size("vec")), "vectors")
-    sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q")).first()
-    n_shards, n_blocks = -(-max(1, sizes["n"]) // SHARD_ROWS), -(-max(1, sizes["q"]) // BLOCK_ROWS)
+    n_shards = -(-max(1, rows.count()) // SHARD_ROWS)
     trees = materialise(index(rows.drop("is_query").fillna(int(NO_ID), ["id"]), n_shards), "trees")
 
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"dim": [key[0]], "block": [key[1]], "q_ids": [pdf["id"].to_numpy(np.int64).tobytes()],
-                             "q_uids": [pdf["uid"].to_numpy(np.int64).tobytes()], "q_vecs": [_pack(pdf["vec"])]})
-
-    blocks = (rows.where(F.col("is_query") & F.col("id").isNotNull())
-              .withColumn("block", F.pmod(F.xxhash64("uid", F.lit(3)), F.lit(n_blocks)).cast("int"))
-              .groupBy("dim", "block").applyInPandas(
-                  pack, "dim int, block int, q_ids binary, q_uids binary, q_vecs binary")
-              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))))
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for r in f.itertuples():
+    def search(queries: dict):
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for r in (r for f in frames for r in f.itertuples()):
                 long = lambda b: np.frombuffer(b, np.int64)
                 tree = Tree(long(r.ids), long(r.uids), _unpack(r.vecs, r.dim),
                             np.frombuffer(r.nodes, np.int32).reshape(-1, 5), _unpack(r.bounds, 4),
                             _unpack(r.vantage, r.dim))
-                q_ids, q_uids = long(r.q_ids), long(r.q_uids)
-                top, ids, uids, _ = tree.search(_unpack(r.q_vecs, r.dim), q_uids, k, factor)
-                q, c = np.nonzero(~np.isneginf(top))
-                yield pd.DataFrame({"query_id": q_ids[q], "q_uid": q_uids[q], "id": ids[q, c],
-                                    "uid": uids[q, c], "score": top[q, c]})
-
-    spread = int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = (trees.join(blocks, ["dim", "shard"]).repartition(spread, "dim", "shard", "block").drop("block", "shard")
-             .mapInPandas(search, "query_id long, q_uid long, id long, uid long, score double"))
+                q_ids, q_uids, q_vecs = queries.get(r.dim, ((), (), ()))
+                for i in range(0, len(q_ids), BLOCK_ROWS):
+                    at = slice(i, i + BLOCK_ROWS)
+                    top, ids, uids, _ = tree.search(q_vecs[at], q_uids[at], k, factor)
+                    q, c = np.nonzero(~np.isneginf(top))
+                    yield pd.DataFrame({"query_id": q_ids[at][q], "q_uid": q_uids[at][q], "id": ids[q, c],
+                                        "uid": uids[q, c], "score": top[q, c]})
+        return run
+
     best = Window.partitionBy("q_uid").orderBy(F.col("score").desc(), "id", "uid")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", F.when(F.col("id") != int(NO_ID), F.col("id")).alias(id_col), "score"))
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = None
+    asked = rows.where(F.col("is_query") & F.col("id").isNotNull()).select("uid", "id", "dim", "vec")
+    for part in bounded_passes(asked, "uid", 8 * F.col("dim"), PASS_BYTES):
+        queries = {}
+        for dim in {r["dim"] for r in part}:
+            mine = [r for r in part if r["dim"] == dim]
+            queries[dim] = (np.array([r["id"] for r in mine], np.int64), np.array([r["uid"] for r in mine], np.int64),
+                            np.array([r["vec"] for r in mine], np.float64))
+        found = trees.repartition(spread).mapInPandas(search(queries), "query_id long, q_uid long, id long, uid long, score double")
+        got = materialise(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "neighbours")
+        out = got if out is None else out.unionByName(got)
+    if out is None:
+        return rows.sparkSession.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score double")
+    return out.select("query_id", "rank", F.when(F.col("id") != int(NO_ID), F.col("id")).alias(id_col), "score")
