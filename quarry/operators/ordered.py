@@ -16,16 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
-def md5_bucket(hex_col: Column | str, digits: int = 3) -> Column:
-    """Bucket from the leading hex digits of an MD5 string (16**digits buckets).
-
-    MD5 is uniform, so buckets are balanced whatever the key skew.
-    """
-    c = F.col(hex_col) if isinstance(hex_col, str) else hex_col
-    return F.conv(F.substring(c, 1, digits), 16, 10).cast("int")
-
-
 def running_sums(df: DataFrame, bucket: str, order: list, values: list[str],
                  out: list[str], inclusive: bool = True) -> DataFrame:
     """Add running sums of ``values`` over the global order (bucket, *order).
@@ -86,33 +76,3 @@ def range_buckets(df: DataFrame, *order, name: str = "_b") -> DataFrame:
     from ..session import shared_dir
     shared_dir(df.sparkSession)
     return df.repartitionByRange(*order).withColumn(name, F.spark_partition_id()).checkpoint()
-
-
-def global_rank(df: DataFrame, hex_key: str, partition: list[str] | None = None,
-                digits: int = 3, out: str = "rank", total: str | None = None,
-                least: str | None = None) -> DataFrame:
-    """1-based rank of each row by ascending ``hex_key`` (an MD5 hex string),
-    optionally restarting per ``partition`` columns. ``total`` adds the number
-    of rows (of the partition value), ``least`` the smallest such number; both
-    come from the bucket totals, not from another scan.
-
-    Buckets come from the key's leading hex digits, so a hot partition value
-    is still spread over 16**digits tasks. The broadcast offset table has one
-    row per (partition value, bucket): use low-cardinality partition columns
-    (class labels), which bounds it.
-    """
-    partition = partition or []
-    b = "_rb"
-    d = df.withColumn(b, md5_bucket(hex_key, digits)).withColumn("_one", F.lit(1))
-    tot = d.groupBy(*partition, b).agg(F.count(F.lit(1)).alias("_t"))
-    before = Window.partitionBy(*partition).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*partition, b, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"),
-                     F.sum("_t").over(Window.partitionBy(*partition)).alias("_all"))
-    off = off.withColumn("_least", F.min("_all").over(Window.partitionBy()))
-    w = Window.partitionBy(*partition, b).orderBy(hex_key)
-    res = (d.join(F.broadcast(off), [*partition, b])
-           .withColumn(out, (F.col("_o") + F.row_number().over(w)).cast("bigint")))
-    for name, col in ((total, "_all"), (least, "_least")):
-        if name:
-            res = res.withColumn(name, F.col(col))
-    return res.drop(b, "_one", "_o", "_all", "_least")

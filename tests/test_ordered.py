@@ -1,9 +1,8 @@
 """Bucketed global ordering helpers against brute force."""
 
 import numpy as np
-from pyspark.sql import functions as F
 
-from quarry.operators.ordered import global_rank, range_buckets, running_sums, with_neighbours
+from quarry.operators.ordered import range_buckets, running_sums, with_neighbours
 
 
 def test_running_sums_and_neighbours_match_brute_force(spark):
@@ -23,13 +22,3 @@ def test_running_sums_and_neighbours_match_brute_force(spark):
         assert row[2] == (int(vs[i - 1]) if i > 0 else None)
         assert row[3] == (int(vs[i + 1]) if i < len(vs) - 1 else None)
         assert row[4] == (i > 0) and row[5] == (i < len(vs) - 1)
-
-
-def test_global_rank_per_partition(spark):
-    df = spark.range(300).select(F.col("id"), (F.col("id") % 2).alias("g"),
-                                 F.md5(F.col("id").cast("string")).alias("h"))
-    r = global_rank(df.where("id < 300"), "h", partition=["g"], digits=1, total="n", least="m").collect()
-    assert {(x.n, x.m) for x in r} == {(150, 150)}
-    for grp in (0, 1):
-        mine = sorted((x.h, x.rank) for x in r if x.g == grp)
-        assert [rk for _, rk in mine] == list(range(1, 151))
