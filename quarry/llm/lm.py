@@ -324,8 +324,9 @@ def score(docs: DataFrame, trainable: Column, params: Params = Params(), id_col:
     sums = by_block.cogroup(answers.groupBy("block")).applyInPandas(_context_sums(p, n), SUMS)
     more = materialise(_answer_sums(sums), "lm-contexts")
     train_tokens = _train_tokens(blocks)
-    found = (by_block.cogroup(answers.unionByName(more).groupBy("block"))
-             .applyInPandas(_score(p, n, train_tokens, words), SCORES))
+    found = materialise(by_block.cogroup(answers.unionByName(more).groupBy("block"))
+                        .applyInPandas(_score(p, n, train_tokens, words), SCORES), "lm-scores")
+    spark.sql(f"DROP TABLE {name}")             # its files stay in the shared folder
     return found.select(F.col("doc_id").alias(id_col), "n_tokens", "n_known",
                         F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
