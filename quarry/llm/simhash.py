@@ -310,9 +310,11 @@ def keep_one(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id
     rows without an id count, and a repeated id does not join its rows' texts.
     """
     columns = docs.columns
+    prints = materialise(fingerprints(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")),
+                                      shingle, "id", "text"), "fingerprints")
     docs = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns))).alias("row"),
-                       F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    prints = materialise(fingerprints(docs, shingle, "id", "text"), "fingerprints")
+                       F.col(f"`{id_col}`").alias("id"))
+    text = F.col(f"row._{columns.index(text_col)}").alias("text")
     labels = _labelled(prints, distance, "id")
     best = labels.groupBy("_c").agg(F.min("_min").alias("_id"))
     ids = (prints.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_id"))
@@ -321,8 +323,9 @@ def keep_one(docs: DataFrame, shingle: int, distance: int, id_col: str = "doc_id
     # Null and repeated ids do not name a row: these rows are told apart by fingerprint and text.
     again = (docs.join(ids.where("_n > 1"), docs["id"] == F.col("_id"), "left_semi")
              .unionByName(docs.where(F.col("id").isNull())))
-    packed = again.select(F.struct("row", "id", "text").alias("all"), "text")
-    row = fingerprints(packed, shingle, "all", "text").select("fp", "all.*")
+    # Both joins take the same two columns, so the rows are shuffled once for both.
+    row = (fingerprints(again.select(F.struct("row", "id").alias("all"), text), shingle, "all", "text")
+           .select("fp", "all.*").select("fp", "row", "id", text))
     owner = labels.join(best, "_c").select(F.col("fp").alias("_fp"), "_c", "_id")
     first = Window.partitionBy("_c").orderBy(F.col("text").asc_nulls_first())
     again = (row.join(owner, (F.col("fp") == F.col("_fp")) & F.col("id").eqNullSafe(F.col("_id")))
