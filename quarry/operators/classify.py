@@ -100,11 +100,11 @@ def report(predictions: DataFrame) -> DataFrame:
 
 
 def compare_classifiers(train: DataFrame, test: DataFrame, key: str = "doc_id", text: str = "clean",
-                        label: str = "liked", models: list[str] | None = None) -> DataFrame:
+                        label: str = "liked") -> DataFrame:
     """One row per model: every model's predictions are written, then reported."""
     tr, te, width = features(train, test, key, text, label)
     out = None
-    for name in models or MODELS:
-        got = MODELS[name](tr, te, width, key).select(F.lit(name).alias("name"), "label", "prediction")
+    for name, predict in MODELS.items():
+        got = predict(tr, te, width, key).select(F.lit(name).alias("name"), "label", "prediction")
         out = got if out is None else out.unionByName(got)
     return report(stored(out, "predictions"))
