@@ -156,3 +156,31 @@ def test_choice_info_precomputed_equals_inline(spark):
     pre = df.withColumn("ci", ar.choice_info(F.col("q")))
     shared = rows(ar.with_answer_correct(pre, "t", "p", "a", input_col="q", info_col="ci"), "i", "a")
     assert inline == shared == [(0, 1), (1, 1), (2, 0), (3, 0)]
+
+
+def test_number_words_hidden_in_tokens(spark):
+    """Only the token taken has its number words replaced; a token that holds one is
+    not alphabetic, whichever side the search comes from. Long texts too."""
+    texts = ["The answer is of often seen xx", "so ninety apples yy", "it was seventeen. then zz", "none",
+             "the answer is word word", "alpha beta", "one  ", "the answer is a $5,0 b", "x weighty y=some fiftyone z: 4",
+             "word " * 6000 + "forty two", "word " * 6000 + "seventeen", "the answer is " + "word " * 6000 + "threes"]
+    want = ["10", "9", "7", "1", "", "", "1", "50", "501", "2", "7", "3"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw_answer string")
+    assert [r.parsed_answer for r in an.parse_answers(df).orderBy("i").collect()] == want
+
+
+def test_answers_are_not_shuffled(spark, tmp_dir):
+    """Questions are dealt out before their answers exist."""
+    from quarry.plans import q_answers as qa
+    spark.createDataFrame([(1, 2, 3, 4, 5.0)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, "
+                          "l_quantity double").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    plan = qa.predictions(spark, tmp_dir, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RepartitionByExpression")
+
+
+def test_long_texts_are_searched_only_where_needed(spark):
+    """Replacing number words in 30,000 characters took 28 searches of each text."""
+    from quarry.functions import answer_rules as ar
+    df = spark.createDataFrame([("x",)], "raw_answer string")
+    taken = ar.with_answer_token(df, "raw_answer", "tok", keep_stages=True).select("_p10_pick")
+    assert "replace(" not in taken._jdf.queryExecution().optimizedPlan().toString()

@@ -112,6 +112,7 @@ def test_sinks(spark, tmp_dir):
     assert sorted(r.value for r in spark.read.text(os.path.join(tmp_dir, "out")).collect()) == ["1\t4", "3\t2,4"]
     res = spark.createDataFrame([("m1", "r1", 1.0), ("m2", "r1", 0.0)], "ins_md5 string, row_id string, accuracy double")
     sk.write_eval_results(res, os.path.join(tmp_dir, "ev"))
+    assert all(f.endswith(".csv.gz") for _, _, names in os.walk(os.path.join(tmp_dir, "ev")) for f in names if f.startswith("part-"))
     names = os.listdir(os.path.join(tmp_dir, "ev"))
     assert "ins_md5=m1" in names and "ins_md5=m2" in names
 
