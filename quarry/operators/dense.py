@@ -1,9 +1,10 @@
 """Sums over dense rows: the one distributed step of the iterative fits.
 
 A row is ``(key, label, x array<double>)``, all of one length. Each partition
-adds up what a function makes of its Arrow batches and sends one packed row; more
-than ``GROUPS`` partitions are summed in two levels. So the driver receives at most
-``GROUPS`` rows of a size set by the model, however many partitions there are.
+adds up what a function makes of its Arrow batches. A few short vectors go to the
+driver as they are; longer or more ones are cut into pieces, and each piece is summed by
+its own group over the partitions. So the driver receives at most ``GROUPS`` rows and
+``SENT`` bytes, or one vector where that is longer, however many partitions there are.
 Rows should come straight from a stored table: the number of partitions is then known
 without running anything.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 GROUPS = 32
+SENT = 1 << 18      # bytes of partial sums for the driver in one pass
 
 
 def matrix(batch: pa.RecordBatch, col: str = "x") -> np.ndarray:
@@ -43,28 +45,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def total(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
     """The sum of ``fn(batch)``, vectors of ``size`` doubles, over all batches."""
+    parts = df.rdd.getNumPartitions()
+    lots = max(1, min(GROUPS, SENT // (8 * size)))             # partial sums of the whole vector
+    pieces = 1 if parts <= lots else max(1, min(GROUPS // lots, size))
+    ends = [size * i // pieces for i in range(pieces + 1)]
+
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = np.zeros(size)
         for b in batches:
             if b.num_rows:
                 acc += fn(b)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
-                                          pa.array([acc.tobytes()], pa.binary())], names=["p", "s"])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()] * pieces, pa.int64()),
+                                          pa.array(range(pieces), pa.int64()),
+                                          pa.array([acc[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
+                                         names=["p", "i", "s"])
 
     def add(key, rows: pa.Table) -> pa.Table:
+        g, i = (k.as_py() for k in key)
         rows = rows.sort_by("p")
-        acc = np.zeros(size)
+        acc = np.zeros(ends[i + 1] - ends[i])
         for s in rows.column("s").to_pylist():
             acc += np.frombuffer(s)
-        return pa.table({"p": pa.array([key[0].as_py()], pa.int64()), "s": pa.array([acc.tobytes()], pa.binary())})
+        return pa.table({"p": pa.array([g], pa.int64()), "i": pa.array([i], pa.int64()),
+                         "s": pa.array([acc.tobytes()], pa.binary())})
 
-    sums = df.mapInArrow(part, "p long, s binary")
-    if df.rdd.getNumPartitions() > GROUPS:
-        sums = (sums.withColumn("g", F.pmod("p", F.lit(GROUPS))).groupBy("g")
-                .applyInArrow(add, "p long, s binary"))
+    sums = df.mapInArrow(part, "p long, i long, s binary")
+    if parts > lots:
+        sums = (sums.withColumn("g", F.pmod("p", F.lit(lots))).groupBy("g", "i")
+                .applyInArrow(add, "p long, i long, s binary"))
     out = np.zeros(size)
-    for r in sorted(sums.collect(), key=lambda r: r["p"]):
-        out += np.frombuffer(r["s"])
+    for r in sorted(sums.collect(), key=lambda r: (r["p"], r["i"])):
+        out[ends[r["i"]]:ends[r["i"] + 1]] += np.frombuffer(r["s"])
     return out
 
 
