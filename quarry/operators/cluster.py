@@ -81,7 +81,8 @@ def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 # ------------------------------------------------------------- Lloyd's rounds
-BLOCK_BYTES = 1 << 13       # of points in one row: an Arrow batch of 10,000 rows stays small
+BLOCK_BYTES = 1 << 10       # of points in one row: an Arrow batch of 10,000 rows is 10 MB
+CHUNK_BYTES = 1 << 20       # of points that one NumPy step takes
 SLACK = 1e-9                # distances closer than this are compared in full
 
 
@@ -104,22 +105,29 @@ def _joined(batch, col: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column(col).to_pylist()), kind)
 
 
+def _chunks(batches):
+    """Arrow batches of blocks, cut so that one holds about ``CHUNK_BYTES`` of points."""
+    step = max(1, CHUNK_BYTES // BLOCK_BYTES)
+    for b in batches:
+        for i in range(0, b.num_rows, step):
+            yield b.slice(i, step)
+
+
 def _bounded(blocks: DataFrame, centroids: np.ndarray) -> DataFrame:
     """Blocks with each point's label under ``centroids`` and its margin: how much
     farther the second nearest centroid is than the nearest."""
     n = centroids.shape[1]
 
     def bound(batches):
-        for b in batches:
-            xs, labels, margins = b.column("x").to_pylist(), [], []
-            for raw in xs:
-                d = np.sqrt(_squared(np.frombuffer(raw).reshape(-1, n), centroids))
-                lab = d.argmin(axis=1)
-                own = d[np.arange(len(d)), lab]
-                d[np.arange(len(d)), lab] = np.inf
-                labels.append(lab.astype("<i4").tobytes())
-                margins.append((d.min(axis=1) - own).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("x"), pa.array(labels, pa.binary()), pa.array(margins, pa.binary())],
+        for b in _chunks(batches):
+            raw = b.column("x").to_pylist()
+            ends = np.cumsum([len(r) // (8 * n) for r in raw])[:-1]
+            d = np.sqrt(_squared(np.frombuffer(b"".join(raw)).reshape(-1, n), centroids))
+            lab = d.argmin(axis=1)
+            own = d[np.arange(len(d)), lab]
+            d[np.arange(len(d)), lab] = np.inf
+            cut = [[v.tobytes() for v in np.split(a, ends)] for a in (lab.astype("<i4"), d.min(axis=1) - own)]
+            yield pa.RecordBatch.from_arrays([b.column("x"), *(pa.array(c, pa.binary()) for c in cut)],
                                              names=["x", "label", "margin"])
 
     path = scratch_path(blocks.sparkSession, "kmeans-bounds")
@@ -143,7 +151,10 @@ def _update(blocks: DataFrame, centroids: np.ndarray, last: np.ndarray | None, b
 
     far = reach(centroids) if last is None else np.maximum(reach(centroids), reach(last))
 
-    def sums(b):
+    def sums(batch):
+        return sum(chunk_sums(b) for b in _chunks([batch]))
+
+    def chunk_sums(b):
         x = _joined(b, "x", "<f8").reshape(-1, n)
         lab, margin = _joined(b, "label", "<i4").astype(np.int64), _joined(b, "margin", "<f8")
         near = np.flatnonzero(margin <= far[lab] + SLACK)
