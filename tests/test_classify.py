@@ -221,3 +221,19 @@ def test_report_by_hand(spark):
     assert got["a"].accuracy == 0.75 and got["a"].pr_auc == pytest.approx((2 / 3 + 1) / 2)
     assert got["b"].pr_auc == 0.75 and got["c"].pr_auc is None and got["a"]["rank"] == 1
     assert got["b"]["rank"] == 2 and got["c"]["rank"] == 3
+
+
+def test_driver_gets_one_long_vector(spark, monkeypatch):
+    """Long partial sums are cut and summed by piece: their number does not grow with the partitions."""
+    import numpy as np
+    from pyspark.sql import DataFrame
+    from quarry.operators import dense
+    got, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: got.append(collect(self)) or got[-1])
+    rows = spark.range(40, numPartitions=20).selectExpr("array(double(id)) AS x")
+    size = 50_000
+    want = np.arange(size) * 780.0
+    out = dense.total(rows, lambda b: np.arange(size) * dense.matrix(b).sum(), size)
+    assert np.allclose(out, want)
+    assert sum(len(r["s"]) for r in got[-1]) == 8 * size
+    assert dense.total(rows, lambda b: np.array([dense.matrix(b).sum()]), 1).tolist() == [780.0]

@@ -1,6 +1,7 @@
 """CLUSTER: hand cases, Mahalanobis, empty clusters, NumPy brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,15 @@ def test_pca_per_cluster_any_dimension(spark):
     flat = {r.cluster: (r.c0, r.c1) for r in cl.pca_per_cluster_2d(two).collect()}
     for r in cl.pca_per_cluster(two, 2).collect():
         assert np.allclose(r.component, flat[r.cluster])
+
+
+def test_numpy_steps_hold_few_points(spark, monkeypatch):
+    """A batch of blocks is labelled in steps of bounded size, whatever the batch holds."""
+    x = np.random.default_rng(3).normal(size=(20_000, 2))
+    most, plain = [], cl._squared(x, x[:2]).argmin(axis=1)
+    batch = pa.RecordBatch.from_arrays([pa.array([x[i:i + 64].tobytes() for i in range(0, len(x), 64)] * 40, pa.binary())], names=["x"])
+    most = max(sum(len(v) for v in b.column("x").to_pylist()) for b in cl._chunks([batch]))
+    assert most <= cl.CHUNK_BYTES
+    got = cl.lloyd(spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id long, features array<double>"),
+                   x[:2].tolist(), 1, stop_when_stable=False)[0]
+    assert [r.cluster for r in got.orderBy("id").collect()] == plain.tolist()

@@ -116,3 +116,16 @@ def test_hub_split_on_driver_graph(spark):
     e2 = b.graph_edges(spark, SF001, hub_size=2)  # every order with > 2 parts split
     assert rows(e1) == rows(e2)
     assert rows(g.recommend(e1, 10)) == rows(g.recommend(e1, 10, hub_degree=3))
+
+
+def test_pairs_are_dealt_out_by_their_number(spark, monkeypatch):
+    """Many pairs from few bytes: the join and the count run in tasks sized by pairs."""
+    from quarry.operators import hubs
+    e = g.symmetric(spark.createDataFrame([(i, j) for i in range(3) for j in range(10, 40)], "src long, dst long"))
+    plain = sorted(map(tuple, g.pair_tally(e).collect()))
+    monkeypatch.setattr(hubs, "TASK_PAIRS", 20)
+    assert hubs.pair_tasks(e, "src") > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t = g.pair_tally(e)
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 3
+    assert sorted(map(tuple, t.collect())) == plain
