@@ -60,7 +60,7 @@ def total(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray], size: int)
                                           pa.array([acc[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
                                          names=["p", "i", "s"])
 
-    def add(key, rows: pa.Table) -> pa.Table:
+    def add(key, rows):     # without hints: applyInArrow fails on hints for some parameters only
         g, i = (k.as_py() for k in key)
         rows = rows.sort_by("p")
         acc = np.zeros(ends[i + 1] - ends[i])

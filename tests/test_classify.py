@@ -226,11 +226,10 @@ def test_report_by_hand(spark):
 def test_driver_gets_one_long_vector(spark, monkeypatch):
     """Long partial sums are cut and summed by piece: their number does not grow with the partitions."""
     import numpy as np
-    from pyspark.sql import DataFrame
     from quarry.operators import dense
-    got, collect = [], DataFrame.collect
-    monkeypatch.setattr(DataFrame, "collect", lambda self: got.append(collect(self)) or got[-1])
-    rows = spark.range(40, numPartitions=20).selectExpr("array(double(id)) AS x")
+    rows = spark.range(0, 40, numPartitions=20).selectExpr("array(double(id)) AS x")
+    got, frame, collect = [], type(rows), type(rows).collect
+    monkeypatch.setattr(frame, "collect", lambda self: got.append(collect(self)) or got[-1])
     size = 50_000
     want = np.arange(size) * 780.0
     out = dense.total(rows, lambda b: np.arange(size) * dense.matrix(b).sum(), size)
