@@ -129,3 +129,23 @@ def test_pairs_are_dealt_out_by_their_number(spark, monkeypatch):
     plan = t._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression") == 3
     assert sorted(map(tuple, t.collect())) == plain
+
+
+def test_fewer_tasks_than_shuffle_partitions_are_stated_too(spark, monkeypatch):
+    """Adaptive execution would merge the shuffle's small parts, and all pairs with them."""
+    e = g.symmetric(spark.createDataFrame([(i, j) for i in range(3) for j in range(10, 40)], "src long, dst long"))
+    plain = rows(g.pair_tally(e))
+    monkeypatch.setattr(hubs, "TASK_PAIRS", 400)
+    n = hubs.pair_tasks(e, "src")
+    assert 1 < n < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t = g.pair_tally(e)
+    assert t._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 3
+    assert t.rdd.getNumPartitions() == n
+    assert rows(t) == plain
+
+
+def test_pair_tasks_count_items_as_well_as_pairs(spark, monkeypatch):
+    monkeypatch.setattr(hubs, "TASK_PAIRS", 10)
+    assert hubs.pair_tasks(spark.createDataFrame([(i, i) for i in range(95)], "k long, v long"), "k") == 10
+    assert hubs.pair_tasks(spark.createDataFrame([(0, i) for i in range(10)], "k long, v long"), "k") == 6
+    assert hubs.pair_tasks(spark.createDataFrame([], "k long, v long"), "k") == 1
