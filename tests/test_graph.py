@@ -149,3 +149,25 @@ def test_pair_tasks_count_items_as_well_as_pairs(spark, monkeypatch):
     assert hubs.pair_tasks(spark.createDataFrame([(i, i) for i in range(95)], "k long, v long"), "k") == 10
     assert hubs.pair_tasks(spark.createDataFrame([(0, i) for i in range(10)], "k long, v long"), "k") == 6
     assert hubs.pair_tasks(spark.createDataFrame([], "k long, v long"), "k") == 1
+
+
+def test_last_window_is_dealt_out_whatever_the_shuffle(spark, monkeypatch):
+    """What the top k sorts per task must not grow with the input at few shuffle partitions."""
+    e = g.symmetric(spark.createDataFrame([(i, j) for i in range(3) for j in range(10, 40)], "src long, dst long"))
+    plain = rows(g.recommend(e, k=3))
+    monkeypatch.setattr(hubs, "TASK_PAIRS", 20)
+    n = hubs.pair_tasks(e, "src")
+    assert n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rec = g.recommend(e, k=3)
+    assert rec.rdd.getNumPartitions() == n
+    assert rows(rec) == plain and len(plain) > 90
+
+
+def test_distinct_rows_are_dealt_out_by_their_number(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 30, None if i % 3 else i) for i in range(90)], "k long, v long")
+    plain = sorted(map(str, df.distinct().collect()))
+    monkeypatch.setattr(hubs, "TASK_PAIRS", 7)
+    got = hubs.distinct_rows(df)
+    assert got.rdd.getNumPartitions() == 13
+    assert sorted(map(str, got.collect())) == plain
+    assert hubs.distinct_rows(df.limit(0)).count() == 0
