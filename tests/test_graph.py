@@ -171,3 +171,27 @@ def test_distinct_rows_are_dealt_out_by_their_number(spark, monkeypatch):
     assert got.rdd.getNumPartitions() == 13
     assert sorted(map(str, got.collect())) == plain
     assert hubs.distinct_rows(df.limit(0)).count() == 0
+
+
+def test_edges_are_made_distinct_in_tasks_dealt_out_by_pairs(spark, tmp_dir, monkeypatch):
+    """The part graph's edges come in as many parts as there are pairs for, not in shuffle partitions."""
+    from quarry.plans import bindings as b
+    lines = [(o, p, "R") for o in range(12) for p in range(o % 3, 9)] + [(0, 20, "N"), (None, 3, "R"), (1, None, "R")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_returnflag string") \
+        .write.parquet(f"{tmp_dir}/lineitem.parquet")
+    plain = rows(b.graph_edges(spark, tmp_dir))
+    assert plain == [(i, j) for i in range(9) for j in range(9) if i != j]
+    monkeypatch.setattr(hubs, "TASK_PAIRS", 20)
+    e = b.graph_edges(spark, tmp_dir)
+    assert e.rdd.getNumPartitions() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows(e) == plain
+
+
+def test_items_are_not_shuffled_to_find_their_hubs(spark):
+    """Items sorted by key beside all keys' sizes would be tasks that grow with the input."""
+    df = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 1), (2, 2), (None, 3)], "k long, v long")
+    out = hubs.pairs_sharing_key(df, "k", "v", hub_size=5)
+    left = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "LeftOuter" in x]
+    assert left and all("BroadcastHashJoin" in x for x in left)
+    assert out.count() == 40 * 39 / 2 + 1
+    assert rows(hubs.pairs_sharing_key(df, "k", "v", 5, tasks=7)) == rows(out)
