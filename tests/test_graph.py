@@ -195,3 +195,29 @@ def test_items_are_not_shuffled_to_find_their_hubs(spark):
     assert left and all("BroadcastHashJoin" in x for x in left)
     assert out.count() == 40 * 39 / 2 + 1
     assert rows(hubs.pairs_sharing_key(df, "k", "v", 5, tasks=7)) == rows(out)
+
+
+@pytest.mark.parametrize("tasks, line", [(1, 1000), (4, 2)])
+def test_candidate_lists_hold_every_candidate(spark, tasks, line):
+    adj = {**ADJ, 5: [0, 1, 2, 3, 4]}
+    e = g.symmetric(edges_of(spark, adj))
+    cands = g.mirror_pairs(g.non_friend_pairs(e))
+    want = {}
+    for u, c, n in rows(cands, "user_id", "cand_id", "n"):
+        want.setdefault(u, []).append((c, n))
+    got = {}
+    for r in g.candidate_lists(cands, tasks, line).orderBy("user_id", "list_line").collect():
+        part = [tuple(map(int, x.split(":"))) for x in r.candidates.split(",")]
+        assert 0 < len(part) <= line and r.list_line == len(got.setdefault(r.user_id, [])) // line
+        got[r.user_id] += part
+        assert (r.n_candidates, r.sum_mutual) == (len(want[r.user_id]), sum(n for _, n in want[r.user_id]))
+    assert got == want and got
+
+
+def test_candidate_lists_query_returns_the_lists(spark, tmp_path):
+    lines = [(1, 1, "R"), (1, 2, "R"), (2, 2, "R"), (2, 3, "R"), (3, 2, "R"), (3, 4, "R"), (4, 3, "N"), (4, 1, "N")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_returnflag string") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    from quarry.plans import q_graph
+    got = rows(q_graph.q_candidate_lists(spark, str(tmp_path)), "user_id", "list_line", "n_candidates", "sum_mutual", "candidates")
+    assert got == [(1, 0, 2, 2, "3:1,4:1"), (3, 0, 2, 2, "1:1,4:1"), (4, 0, 2, 2, "1:1,3:1")]
