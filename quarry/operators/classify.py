@@ -11,7 +11,7 @@ The models are those of the reference, each by its own definition:
 * RandomForest(100 trees, depth 3): ``trees``, exact thresholds, MD5 draws
 * DecisionTree(depth 2, leaf >= 5, split >= 5, 2 features per split): ``trees``
 * LogisticRegression(C=1, L2): ``newton``
-* SVC (RBF kernel, C=1, gamma 'scale'): ``newton`` on 256 landmark rows
+* SVC (RBF kernel, C=1, gamma 'scale'): ``svm``, over all training rows
 * MLP(100 ReLU units, Adam): ``neural``; batches are parts of the whole table, so
   steps are fewer and larger (rate 0.01 instead of 0.001)
 """

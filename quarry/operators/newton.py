@@ -5,10 +5,10 @@ One pass over the rows gives loss, gradient and second derivative as one partial
 sum a partition (``dense.total``); the system solved on the driver has the size of the
 model. A step that does not lower the objective is halved.
 
-The machine with kernel ``exp(-gamma |x - z|^2)`` is made linear by a Nystroem map:
-``landmarks`` training rows, first in MD5 order, span the feature space (exact if
-they are all rows). Its hinge loss is approached through quadratic corners of
-falling width.
+The machine with kernel ``exp(-gamma |x - z|^2)`` is fitted over all training rows
+(``svm``). Only a caller that states a number of ``landmarks`` gets the bounded form, made
+linear by a Nystroem map: so many training rows, first in MD5 order, span the feature
+space. Its hinge loss is approached through quadratic corners of falling width.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import svm
 from .dense import column, matrix, predicted, total
 from .sampling import md5_key
 
@@ -118,14 +119,17 @@ def nystroem(train: DataFrame, key: str, landmarks: int, gamma: float, seed=0):
 
 
 def rbf_svm(train: DataFrame, test: DataFrame, width: int, key: str, c: float = 1.0,
-            landmarks: int = 256, gamma: float | None = None, seed=0,
+            landmarks: int | None = None, gamma: float | None = None, seed=0,
             corners=(1.0, 0.3, 0.1, 0.03, 0.01)) -> DataFrame:
     """Predictions for ``test`` of the machine with a radial kernel fitted on ``train``.
 
-    ``landmarks`` bounds the model: that many training rows span it, while its loss
-    and derivatives are sums over all of them. ``corners`` are the widths of the
-    rounded hinge; each fit starts from the one before."""
+    All training rows span it. ``landmarks``, where stated, bounds the model: that many
+    training rows span it, while its loss and derivatives are sums over all of them.
+    ``corners`` are the widths of the rounded hinge, of which the last counts; each
+    bounded fit starts from the one before."""
     gamma = gamma or gamma_scale(train, width)
+    if landmarks is None:
+        return svm.predicted(train, test, key, c, gamma, corners[-1])
     features, size = nystroem(train, key, landmarks, gamma, seed)
     w = None
     for corner in corners:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators import bayes, classify, neural, newton, trees
+from quarry.operators import bayes, classify, neural, newton, svm, trees
 
 KIND = "k long, label double, x array<double>"
 
@@ -83,6 +83,45 @@ def test_kernel_machine_agrees_with_the_exact_dual(spark):
     assert (want == truth).mean() > 0.9
 
 
+def test_kernel_machine_uses_every_training_row(spark):
+    """600 rows, each alone in telling its own place: 256 of them could not."""
+    rng = np.random.default_rng(5)
+    x = np.stack([np.arange(600) % 30, np.arange(600) // 30], 1) + rng.normal(0, 0.05, (600, 2))
+    y = rng.integers(0, 2, 600)
+    want = exact_dual(x, y, 8.0, rounds=20000)(x) > 0
+    got = predictions(newton.rbf_svm(frame(spark, x, y), frame(spark, x, y), 2, "k", gamma=8.0))
+    few = predictions(newton.rbf_svm(frame(spark, x, y), frame(spark, x, y), 2, "k", gamma=8.0, landmarks=256))
+    assert (got == want).mean() >= 0.995 and (got == y).mean() > 0.95
+    assert (few == want).mean() < 0.9
+
+
+@pytest.mark.parametrize("working", [12, 4096])
+def test_working_sets_of_any_size_reach_the_optimum(spark, working):
+    x, y = rings(1, 90)
+    c, corner, gamma = 0.7, 0.01, 0.9
+    rows = svm.numbered(frame(spark, x, y).select("label", "x"), "t")
+    numbers, weight, b = svm.fit(rows, c, gamma, corner, 1e-5, working)
+    kept = rows.orderBy("i").collect()
+    at = {r.i: k for k, r in enumerate(kept)}
+    beta = np.zeros(len(kept))
+    beta[[at[i] for i in numbers]] = weight
+    z, s = np.array([r.x for r in kept]), np.array([2 * r.label - 1 for r in kept])
+    m = s * (svm.kernel(z, z, gamma) @ beta + b)
+    assert abs(beta.sum()) < 1e-9
+    assert np.abs(s * beta - c * np.clip((1 - m) / corner, 0, 1)).max() < 1e-5 / corner * 2
+    score = svm.weighed(rows, np.array(sorted(at)), svm.fetched(rows, numbers[::-1]), weight[::-1], gamma)
+    assert np.allclose(score, svm.kernel(z, z, gamma) @ beta)
+
+
+def test_kernel_machine_of_one_class_and_of_none(spark):
+    x, y = rings(1, 20)
+    for label in (0, 1):
+        got = predictions(newton.rbf_svm(frame(spark, x, y * 0 + label), frame(spark, x, y), 2, "k"))
+        assert (got == label).all()
+    assert not predictions(newton.rbf_svm(frame(spark, x, y).where("false"), frame(spark, x, y), 2, "k")).any()
+    assert newton.rbf_svm(frame(spark, x, y), frame(spark, x, y).where("false"), 2, "k").count() == 0
+
+
 # -------------------------------------------------------------------- network
 def plain_network(x, y, part, width, hidden, epochs, parts):
     theta = neural.initial(width, hidden, 0)
