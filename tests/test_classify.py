@@ -244,6 +244,13 @@ def test_naive_bayes_equals_the_dense_formula(spark):
 
 
 # --------------------------------------------------------------------- report
+def test_compared_kernel_machine_is_bounded_by_no_sample(spark, monkeypatch):
+    monkeypatch.setattr(newton, "nystroem", None)
+    x, y = rings(3, 40)
+    got = predictions(classify.MODELS["SVC"](frame(spark, x, y), frame(spark, x, y), 2, "k"))
+    assert (got == (exact_dual(x, y, 1 / (2 * x.var()))(x) > 0)).mean() > 0.95
+
+
 def test_compare_on_words(spark):
     good, bad = "fine lovely great movie film", "awful boring bad movie film"
     rows = [(i, f"{(good if i % 2 else bad)} {'tail ' * (i % 3)}w{i % 5}", i % 2) for i in range(60)]
