@@ -184,3 +184,21 @@ def test_long_texts_are_searched_only_where_needed(spark):
     df = spark.createDataFrame([("x",)], "raw_answer string")
     taken = ar.with_answer_token(df, "raw_answer", "tok", keep_stages=True).select("_p10_pick")
     assert "replace(" not in taken._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_answer_rules_are_fused_in_methods_that_can_be_compiled(spark, tmp_path):
+    """No stage of the decode accuracy is longer than HotSpot compiles, else it is given up."""
+    from quarry.plans import q_answers
+    from quarry.session import COMPILED
+    spark.createDataFrame([(1, 1, 2, 3, 5.0)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = q_answers.q_multi_decode_accuracy(spark, str(tmp_path))._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) <= int(COMPILED["spark.sql.codegen.hugeMethodLimit"])

@@ -125,3 +125,24 @@ def test_favourites_keep_repeats_and_numeric_lowest(spark, tmp_dir):
     assert rows(rt.lowest_user_favourites(r, 2), "user_id", "movie_id") == [(9, 1), (9, 1)]
     empty = rt.lowest_user_favourites(r, 3)
     assert empty.count() == 0
+
+
+def test_eval_results_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Few instructions are written as their rows come; more than the open files are sorted, none is lost."""
+    from pyspark.sql import DataFrameWriter
+    from quarry.sources import sinks as sk
+    key, csv, during = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.csv, []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, p: during.append(int(spark.conf.get(key))) or csv(self, p))
+    for n in (3, 21):
+        df = spark.range(0, 400, numPartitions=2).selectExpr(
+            f"concat('m', id % {n}) AS ins_md5", "string(id) AS row_id", "concat(repeat('a, \"b\"\n', 3), 'c') AS raw_prompt")
+        for fmt in ("csv", "parquet"):
+            path = str(tmp_path / f"{fmt}{n}")
+            sk.write_eval_results(df, path, fmt)
+            back = spark.read.schema("row_id string, raw_prompt string, ins_md5 string")
+            back = back.parquet(path) if fmt == "parquet" else back.option("header", "true").option(
+                "multiLine", "true").option("escape", "\"").csv(path)
+            assert sorted((r.ins_md5, r.row_id, r.raw_prompt) for r in back.collect()) == \
+                sorted((r.ins_md5, r.row_id, r.raw_prompt) for r in df.collect())
+    assert min(during) > 3 and spark.conf.get(key) == before
